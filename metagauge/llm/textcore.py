@@ -81,10 +81,10 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 class Words:
     """Words of a run of texts: byte starts and ends, text index, 64-bit hashes."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, fold: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, fold: bool = False, white: np.ndarray = WHITE):
         self.data, self.offsets, self.n = data, offsets, len(offsets) - 1
         solid = np.zeros(len(data) + 2, dtype=bool)
-        solid[1:-1] = ~WHITE[data]
+        solid[1:-1] = ~white[data]
         inner = np.zeros(len(data) + 1, dtype=bool)
         inner[offsets] = True
         begin = solid[1:-1] & (~solid[:-2] | inner[:-1])
