@@ -81,6 +81,17 @@ def _chosen(recognizers: Iterable[Recognizer | ModelRecognizer], entities: Itera
     return [r for r in recognizers if wanted is None or wanted & ({r.entity} if isinstance(r, Recognizer) else set(r.entities))]
 
 
+def _model(r: ModelRecognizer, keep: set[str]) -> Callable[[Column], Column]:
+    @F.pandas_udf(SPANS)
+    def model(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            plain = texts.fillna("")
+            rows = [[{"entity": e, "score": r.score, "start": a, "end": b, "matched_text": t[a:b]} for e, a, b in own if e in keep] for t, own in zip(plain, r.spans(plain))]
+            yield pd.Series(rows, index=texts.index)
+
+    return model
+
+
 def spans(df: DataFrame, text_col: str = "text", recognizers: Iterable[Recognizer | ModelRecognizer] = DEFAULT, entities: Iterable[str] | None = None, out_col: str = "spans") -> DataFrame:
     """All columns and out_col: the spans of the text, by start, end and entity. A null text has none."""
     wanted = None if entities is None else set(entities)
@@ -89,17 +100,8 @@ def spans(df: DataFrame, text_col: str = "text", recognizers: Iterable[Recognize
     for r in _chosen(recognizers, entities):
         if isinstance(r, Recognizer):
             found.append(match_spans(text, r))
-            continue
-
-        @F.pandas_udf(SPANS)
-        def model(parts: Iterator[pd.Series], r: ModelRecognizer = r) -> Iterator[pd.Series]:
-            keep = set(r.entities) if wanted is None else wanted & set(r.entities)
-            for texts in parts:
-                plain = texts.fillna("")
-                rows = [[{"entity": e, "score": r.score, "start": a, "end": b, "matched_text": t[a:b]} for e, a, b in own if e in keep] for t, own in zip(plain, r.spans(plain))]
-                yield pd.Series(rows, index=texts.index)
-
-        found.append(model(text))
+        else:
+            found.append(_model(r, set(r.entities) if wanted is None else wanted & set(r.entities))(text))
     every = F.concat(*[F.coalesce(f, F.array().cast(SPANS)) for f in found]) if found else F.array().cast(SPANS)
     order = F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"), s["score"].alias("score"), s["matched_text"].alias("matched_text")))
     back = F.transform(F.array_sort(order), lambda s: F.struct(s["entity"].alias("entity"), s["score"].alias("score"), s["start"].alias("start"), s["end"].alias("end"), s["matched_text"].alias("matched_text")))

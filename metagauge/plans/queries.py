@@ -443,5 +443,5 @@ def stream_resource_flags(spark, sf_dir):
 @_query("select time_bucket(interval '1 day', ts) as start, time_bucket(interval '1 day', ts) + interval '1 day' as \"end\", event_type as entity, count(*) as count from events group by 1, 2, 3")
 def stream_event_windows(spark, sf_dir):
     schema = _table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumnRenamed("event_type", "entity")
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumnRenamed("event_type", "entity").withColumn("ts", F.col("ts").cast("timestamp"))
     return _drained(streams.entity_windows(events, "ts", "1 day", "30 days"), "stream_event_windows", "complete")
