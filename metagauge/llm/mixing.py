@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sample import lowest
 from .scratch import written
 from .textcore import Words, slices
 
@@ -136,9 +137,11 @@ class Mix:
             raise ValueError("weights must not be negative")
         self.id_col, self.text_col = id_col, text_col
         # Documents are chosen by a hash before any text is looked at.
+        key = F.xxhash64("doc_id", F.lit("mix"))
         names = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain")).where(F.col("domain").isin(*sorted(targets)) if targets else F.lit(False))
-        chosen = names.join(labels.select(F.col("`doc_id`").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi").distinct().orderBy(F.xxhash64("doc_id", F.lit("mix")), "domain").limit(max_labelled)
-        chosen = docs.sparkSession.createDataFrame(chosen.collect(), "doc_id long, domain string")  # at most max_labelled rows of two values
+        known = labels.select(F.col("`doc_id`").cast("long").alias("doc_id"))
+        chosen = lowest(names.join(known.distinct(), "doc_id", "left_semi").distinct(), max_labelled, known.count(), key, "doc_id", "domain")
+        chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, domain string")  # at most max_labelled rows of two values
         rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain"), F.col(f"`{text_col}`").cast("string").alias("text"))
         rows = rows.join(F.broadcast(chosen), ["doc_id", "domain"], "left_semi").collect()
         rows.sort(key=lambda r: (r.doc_id, r.text or ""))

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sample import lowest
 from .scratch import written
 from .style import NAMES, measure, table
 from .textcore import slices
@@ -127,7 +128,7 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     """The model: center, scale, weights, prior, cutoff; None without positives. measured is style.table()."""
     good = labels.groupBy(F.col(f"`{id_col}`").cast("long").alias("doc_id")).agg(F.min(F.col(f"`{label_col}`")).alias("good")).where("good = 1").select("doc_id")
     trusted = written(measured.join(good, "doc_id").select("doc_id", *NAMES), "pu-trusted")
-    pick = lambda df, n: df.orderBy(F.xxhash64("doc_id", F.lit("pu")), *NAMES).limit(n).collect()
+    pick = lambda df, n: lowest(df, n, df.count(), F.xxhash64("doc_id", F.lit("pu")), *NAMES)
     p, u = _inputs(pick(trusted, MAX_POSITIVES)), _inputs(pick(measured.select("doc_id", *NAMES), MAX_UNLABELLED))
     if not len(p) or not len(u):
         return None
