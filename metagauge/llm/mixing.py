@@ -12,8 +12,9 @@
 3. A document occurs floor(r) times, and once more with probability r - floor(r)
    by a hash of its doc_id.
 
-MAX_LABELLED bounds the labelled sample (by a hash of doc_id). Tokens are words
-between ASCII white space.
+MAX_LABELLED bounds the labelled sample (by a hash of doc_id), of which the
+driver gets hashed words' shares, no texts. Tokens are words between ASCII white
+space.
 
 Defined results: null and empty texts have no tokens and the model's prior as
 posterior. Target domains without labelled documents are left out and the other
@@ -45,23 +46,28 @@ def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (words.hash >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), words.first
 
 
-def fit_classifier(texts: list[str], domains: list[int], classes: int, steps: int = 80) -> np.ndarray:
-    """(buckets + 1) x classes weights; the last row is the bias."""
-    ids, first = _buckets(pa.array(texts, pa.string()))
+def shares(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n + 1 offsets of texts in the other two: the buckets that occur in each, and their shares of its words."""
+    ids, first = _buckets(texts)
     counts = np.diff(first)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    share = 1 / np.maximum(counts, 1)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    pair, times = np.unique(doc << BUCKET_BITS | ids, return_counts=True)
+    row = pair >> BUCKET_BITS
+    return np.searchsorted(row, np.arange(len(counts) + 1)), (pair & (1 << BUCKET_BITS) - 1).astype(np.int32), times / counts[row]
+
+
+def fit_classifier(offsets: np.ndarray, col: np.ndarray, value: np.ndarray, domains: list[int], classes: int, steps: int = 80) -> np.ndarray:
+    """(buckets + 1) x classes weights from texts' shares() and domains; the last row is the bias."""
+    n = len(domains)
+    row = np.repeat(np.arange(n), np.diff(offsets))
     y = np.eye(classes)[np.array(domains)]
     size = 1 << BUCKET_BITS
-    pair, which = np.unique(doc.astype(np.int64) * size + ids, return_inverse=True)
-    value = np.bincount(which, minlength=len(pair)) * share[pair // size]
-    row, col = pair // size, pair % size
     w = np.zeros((size + 1, classes))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        z = np.stack([np.bincount(row, value * w[col, k], len(texts)) for k in range(classes)], axis=1) + w[-1]
+        z = np.stack([np.bincount(row, value * w[col, k], n) for k in range(classes)], axis=1) + w[-1]
         z = np.exp(z - z.max(axis=1, keepdims=True))
-        off = (z / z.sum(axis=1, keepdims=True) - y) / len(texts)
+        off = (z / z.sum(axis=1, keepdims=True) - y) / n
         g = np.empty_like(w)
         for k in range(classes):
             g[:-1, k] = np.bincount(col, value * off[row, k], size)
@@ -129,6 +135,14 @@ def fit_rates(measured: DataFrame, weights: np.ndarray, tolerance: float = TOLER
     return steps
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            offsets, buckets, share = shares(part.column("text"))
+            at = pa.array(offsets.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("domain"), pa.ListArray.from_arrays(at, pa.array(buckets)), pa.ListArray.from_arrays(at, pa.array(share))], ["doc_id", "domain", "buckets", "shares"])
+
+
 class Mix:
     """A fitted mix: domains, their weights, the classifier and the steps."""
 
@@ -143,16 +157,20 @@ class Mix:
         chosen = lowest(names.join(known.distinct(), "doc_id", "left_semi").distinct(), max_labelled, known.count(), key, "doc_id", "domain")
         chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, domain string")  # at most max_labelled rows of two values
         rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain"), F.col(f"`{text_col}`").cast("string").alias("text"))
-        rows = rows.join(F.broadcast(chosen), ["doc_id", "domain"], "left_semi").collect()
-        rows.sort(key=lambda r: (r.doc_id, r.text or ""))
-        self.domains = sorted({r.domain for r in rows if targets[r.domain] > 0} | {r.domain for r in rows})
+        # Executors hash the words; the driver gets no text.
+        rows = rows.join(F.broadcast(chosen), ["doc_id", "domain"], "left_semi").mapInArrow(_hashed, "doc_id long, domain string, buckets array<int>, shares array<double>").toArrow().combine_chunks()
+        found = rows.column("domain").to_pylist()
+        self.domains = sorted(set(found))
         weights = np.array([targets[d] for d in self.domains])
         self.weights = weights / weights.sum() if weights.sum() > 0 else weights
         self.w, self.steps, self.measured = np.zeros((1, 0)), [], None
         if not len(weights) or weights.sum() <= 0:
             self.domains = []
             return
-        self.w = fit_classifier([r.text or "" for r in rows], [self.domains.index(r.domain) for r in rows], len(self.domains))
+        order = sorted(range(len(found)), key=lambda i: (rows["doc_id"][i].as_py(), found[i], rows["buckets"][i].as_py()))  # as partitions come in any order
+        rows = rows.take(order).combine_chunks()
+        sizes = pa.compute.list_value_length(rows["buckets"]).to_numpy()
+        self.w = fit_classifier(np.concatenate(([0], np.cumsum(sizes))), pa.compute.list_flatten(rows["buckets"]).to_numpy(), pa.compute.list_flatten(rows["shares"]).to_numpy(), [self.domains.index(found[i]) for i in order], len(self.domains))
         w = self.w
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
