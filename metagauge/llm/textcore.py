@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _rng = np.random.default_rng(20240611)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
