@@ -33,8 +33,8 @@ from .textcore import flat, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 400_000
-SLICE = 2_000_000
+CACHE = 250_000
+SLICE = 1_000_000
 _NONE = np.iinfo(np.int32).max
 
 

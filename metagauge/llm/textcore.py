@@ -8,6 +8,7 @@ rows; a single text longer than a slice forms a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,8 +65,18 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[o[0] : o[-1]], o - o[0]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives what was freed back to the system, which workers kept for later tasks wouldn't."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of the batch with about so many bytes of the column each."""
+    """Consecutive parts of the batch with about so many bytes of the column each; releases memory at the end."""
     n = batch.num_rows
     if not n:
         return
@@ -76,6 +87,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         to = min(n, max(to, at + 1))
         yield batch.slice(at, to - at)
         at = to
+    release()
 
 
 class Words:
