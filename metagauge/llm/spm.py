@@ -3,7 +3,8 @@
 The encoder keeps an agenda of adjacent symbol pairs ordered by score: the pair
 whose concatenation has the best score merges first, the leftmost among equals,
 until no pair is a piece. It does so for many strings at a time: each round
-merges the best pair of every string in numpy arrays.
+merges the best pair of every string in numpy arrays. A string of more than
+LONG symbols has an agenda of its own, a heap, so that its cost stays n log n.
 
 No piece of the vocabularies served has a space mark inside or after other
 characters, nor a line feed, so texts fall into chunks (spaces and what
@@ -21,6 +22,7 @@ normaliser other than identity) raises ValueError on the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -35,6 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE = 250_000
 SLICE = 1_000_000
+LONG = 200
 _NONE = np.iinfo(np.int32).max
 
 
@@ -87,6 +90,7 @@ class Bpe:
         order = np.argsort(np.array(keys, np.int64))
         self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.values = np.append(np.array(values, np.int32)[order], -1)
+        self.table: dict[int, int] = {}  # of long strings alone
         texts = []
         for i, p in enumerate(pieces):
             if lib.is_byte(i):
@@ -106,17 +110,51 @@ class Bpe:
         i = np.searchsorted(self.keys, key)
         return np.where(self.keys[i] == key, self.values[i], -1)
 
+    def agenda(self, sym: np.ndarray) -> np.ndarray:
+        """Symbols of one string after all merges."""
+        if not self.table:
+            self.table = dict(zip(self.keys.tolist(), self.values.tolist()))
+        table, rank = self.table, self.rank
+        new = self.merged(sym[:-1], sym[1:])
+        at = np.flatnonzero(new >= 0)
+        own = sym.tolist()
+        n = len(own)
+        heap = list(zip(rank[new[at]].tolist(), at.tolist(), sym[at].tolist(), sym[at + 1].tolist(), new[at].tolist()))
+        heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            _, i, a, b, made = heappop(heap)
+            j = after[i]
+            if own[i] != a or j >= n or own[j] != b:
+                continue  # one of the two has merged since
+            own[i], own[j] = made, -1
+            after[i] = j = after[j]
+            if j < n:
+                before[j] = i
+                if (m := table.get(made << 22 | own[j], -1)) >= 0:
+                    heappush(heap, (int(rank[m]), i, made, own[j], m))
+            if (h := before[i]) >= 0 and (m := table.get(own[h] << 22 | made, -1)) >= 0:
+                heappush(heap, (int(rank[m]), h, own[h], made, m))
+        return np.array([x for x in own if x >= 0], np.int32)
+
     def encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of non-empty strings and their n + 1 offsets. Spaces are space marks; no prefix is added."""
         code = np.frombuffer("".join(strings).replace(" ", MARK).encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, strings), np.int64, len(strings))
         sym = self.symbol[code]
         word = np.repeat(np.arange(len(strings), dtype=np.int32), sizes)
+        done_sym, done_word = [], []
+        if len(sizes) and sizes.max() > LONG:
+            ends = np.cumsum(sizes)
+            for k in np.flatnonzero(sizes > LONG).tolist():
+                done_sym.append(self.agenda(sym[ends[k] - sizes[k] : ends[k]]))
+                done_word.append(np.full(len(done_sym[-1]), k, np.int32))
+            short = np.repeat(sizes <= LONG, sizes)
+            sym, word = sym[short], word[short]
         new = np.full(len(sym), -1, np.int32)
         inner = np.flatnonzero(word[:-1] == word[1:])
         new[inner] = self.merged(sym[inner], sym[inner + 1])
         ranks = np.where(new >= 0, self.rank[new], _NONE)
-        done_sym, done_word = [], []
         while len(sym):
             starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             best = np.minimum.reduceat(ranks, starts)
