@@ -11,7 +11,7 @@ everywhere else. Lengths double:
   makes cuts exact to the word;
 * twice, four times ... that: only windows that repeat at one length are
   extended, until none is left. They tell how long a document's longest repeat
-  is (``longest_repeat``, a length of the series).
+  is (``longest_repeat``, a length of the series from ``min_words / 2`` on).
 
 Windows are grouped by the hash of their minimizer, so one shuffle of hashes
 serves all lengths from ``min_words`` on, and documents are shuffled once.
