@@ -11,11 +11,12 @@
    ``prior R_p+ + max(0, R_u- - prior R_p-)`` with the sigmoid loss; where the
    bracket falls below 0, the step goes the other way on it, as in the
    published algorithm.
-4. A document stays if its score is at least 0, or at least the score that a
-   share ``spare`` of all trusted positives fall below, whichever is less.
+4. A document stays if its score is at least 0, the boundary of that risk.
+   Positives below it are rejected like any other document, so wrong positive
+   labels don't move the cutoff.
 
 MAX_POSITIVES and MAX_UNLABELLED bound the training samples, chosen by a hash of
-doc_id; prior, cutoff and decisions cover all documents.
+doc_id; prior and decisions cover all documents.
 
 Defined results: null and empty texts are rejected as soon as there is a model.
 Without positives, or without documents, there is no model and every document
@@ -40,7 +41,6 @@ from .textcore import slices
 
 MAX_POSITIVES, MAX_UNLABELLED = 20_000, 40_000
 BINS = 1000
-SPARE = 0.002
 
 
 def expand(x: np.ndarray) -> np.ndarray:
@@ -124,8 +124,8 @@ def _with_scores(measured: DataFrame, model: dict) -> DataFrame:
     return measured.withColumn("score", score(*NAMES))
 
 
-def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", spare: float = SPARE) -> dict | None:
-    """The model: center, scale, weights, prior, cutoff; None without positives. measured is style.table()."""
+def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> dict | None:
+    """The model: center, scale, weights, prior; None without positives. measured is style.table()."""
     good = labels.groupBy(F.col(f"`{id_col}`").cast("long").alias("doc_id")).agg(F.min(F.col(f"`{label_col}`")).alias("good")).where("good = 1").select("doc_id")
     trusted = written(measured.join(good, "doc_id").select("doc_id", *NAMES), "pu-trusted")
     pick = lambda df, n: lowest(df, n, df.count(), F.xxhash64("doc_id", F.lit("pu")), *NAMES)
@@ -140,8 +140,6 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     hists = [np.array([h.get(b, 0) for b in range(BINS)], float) for h in (at(trusted), at(measured))]
     model["prior"] = estimate_prior(*hists)
     model["weights"] = fit_nnpu(zp, zu, model["prior"]).tolist()
-    least = _with_scores(trusted, model).agg(F.percentile_approx("score", spare, 10_000)).first()[0]
-    model["cutoff"] = min(0.0, float(least))
     return json.loads(json.dumps(model))
 
 
@@ -151,7 +149,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = fit(measured, labels)
     if model is None:
         return measured.select("doc_id", F.lit(None).cast("double").alias("posterior"), F.lit(True).alias("keep"))
-    return _with_scores(measured, model).select("doc_id", (1 / (1 + F.exp(-F.col("score")))).alias("posterior"), ((F.col("score") >= model["cutoff"]) & (F.col("n_words") > 0)).alias("keep"))
+    return _with_scores(measured, model).select("doc_id", (1 / (1 + F.exp(-F.col("score")))).alias("posterior"), ((F.col("score") >= 0) & (F.col("n_words") > 0)).alias("keep"))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -166,7 +164,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         out = []
         for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), "t"):
             x = measure(part.column("t"))
-            out.append((scores(x, model) >= model["cutoff"]) & (x[:, 0] > 0))
+            out.append((scores(x, model) >= 0) & (x[:, 0] > 0))
         return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
     return docs.where(stays(F.col(f"`{text_col}`").cast("string")))

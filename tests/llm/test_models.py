@@ -115,6 +115,17 @@ def test_classifier_on_held_out_rows(graded):
     assert kept == {d for d, r in out.items() if r.keep}
 
 
+def test_wrong_positive_labels_keep_no_junk(graded):
+    """1% of the positive labels are of junk; other junk goes nevertheless."""
+    docs, labels = graded
+    wrong = {i for i in range(0, 4000, 4) if i % 5 < 4 and i % 33 == 0}
+    assert 0.008 < len(wrong) / labels.where("quality = 1").count() < 0.015
+    quality = F.when(F.col("doc_id").isin(*wrong), 1).otherwise(F.col("quality")).alias("quality")
+    out = {r.doc_id: r.keep for r in pu.score(docs, labels.select("doc_id", quality)).collect()}
+    assert np.mean([k for d, k in out.items() if d % 4 == 0]) < 0.05
+    assert np.mean([k for d, k in out.items() if d % 4]) > 0.97
+
+
 def test_prior_and_risk():
     rng = np.random.default_rng(2)
     p = np.concatenate([rng.normal(2, 1, (3000, 1)), np.ones((3000, 1))], axis=1)
