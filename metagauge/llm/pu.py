@@ -1,22 +1,21 @@
 """A quality classifier from trusted positives and unlabelled web text.
 
 1. Each document's form is measured (style.NAMES), in one pass.
-2. A logistic model tells a bounded sample of trusted positives from one of all
-   documents. From the histograms of its scores over all positives and all
+2. A logistic model tells trusted positives from all documents. From the histograms of its scores over all positives and all
    documents the share of positives among documents (the class prior) is
    estimated: the least ratio of upper tails with a confidence margin (best bin
    estimation).
-3. With that prior the model is trained anew, on the samples, to minimise the
-   non-negative unbiased risk
-   ``prior R_p+ + max(0, R_u- - prior R_p-)`` with the sigmoid loss; where the
-   bracket falls below 0, the step goes the other way on it, as in the
-   published algorithm.
+3. With that prior the model is trained anew to minimise the non-negative
+   unbiased risk ``prior R_p+ + max(0, R_u- - prior R_p-)`` with the sigmoid loss.
 4. A document stays if its score is at least 0, the boundary of that risk.
    Positives below it are rejected like any other document, so wrong positive
    labels don't move the cutoff.
 
-MAX_POSITIVES and MAX_UNLABELLED bound the training samples, chosen by a hash of
-doc_id; prior and decisions cover all documents.
+MAX_POSITIVES bounds the sample of positives in training, chosen by a hash of
+doc_id. Everything else covers all documents: means and deviations, the
+unlabelled part of both losses, prior and decisions. Each step of training is a
+pass over the measured table, of which a task returns sums; descent goes on
+until no step of a pass gains STOP, without a bound on passes.
 
 Defined results: null and empty texts are rejected as soon as there is a model.
 Without positives, or without documents, there is no model and every document
@@ -28,6 +27,8 @@ or are ignored (score).
 from __future__ import annotations
 
 import json
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,15 @@ from .scratch import written
 from .style import NAMES, measure, table
 from .textcore import slices
 
-MAX_POSITIVES, MAX_UNLABELLED = 20_000, 40_000
+MAX_POSITIVES = 20_000
 BINS = 1000
+TOLERANCE, STOP = 1e-5, 1e-6
+#: Lengths that a pass tries along its direction.
+LENGTHS = np.array([4, 2, 1, 0.5, 0.25, 0.1, 0.03, 0.005])
+MEMORY = 12
+
+#: Gives the mean over unlabelled rows of what a function sums over some of them.
+Mean = Callable[[Callable[[np.ndarray], np.ndarray]], np.ndarray]
 
 
 def expand(x: np.ndarray) -> np.ndarray:
@@ -49,41 +57,86 @@ def expand(x: np.ndarray) -> np.ndarray:
     return np.concatenate([np.log1p(x[:, :2]), shares, np.sqrt(shares)], axis=1)
 
 
-def _adam(grad, size: int, steps: int, rate: float = 0.05) -> np.ndarray:
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
-    for t in range(1, steps + 1):
-        g = grad(w)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w
-
-
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit_logistic(p: np.ndarray, u: np.ndarray, steps: int = 200) -> np.ndarray:
+def _mean(u: np.ndarray | Mean) -> Mean:
+    return u if callable(u) else lambda value: value(u) / len(u)
+
+
+def _minimise(loss: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], metric: np.ndarray) -> np.ndarray:
+    """Weights at which no step gains STOP (L-BFGS in coordinates that metric makes alike).
+
+    loss gives the values and the gradients at rows of weights, all in one pass.
+    """
+    to = np.linalg.inv(np.linalg.cholesky(metric))
+
+    def at(rows):
+        values, grads = loss(rows @ to)
+        return values, grads @ to.T
+
+    w = np.zeros(len(metric))
+    (v,), (g,) = at(w[None])
+    past: list[tuple] = []
+    while np.abs(g).max() > TOLERANCE:
+        d, took = g.copy(), []
+        for s, y in reversed(past):
+            took.append((s @ d) / (s @ y))
+            d -= took[-1] * y
+        d *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / np.sqrt(g @ g)
+        for (s, y), a in zip(past, reversed(took)):
+            d += s * (a - (y @ d) / (s @ y))
+        tried = w - LENGTHS[:, None] * d
+        values, grads = at(tried)
+        i = int(values.argmin())
+        if values[i] > v - STOP:
+            if not past:
+                break
+            past = []  # down the gradient itself before giving up
+            continue
+        s, y = tried[i] - w, grads[i] - g
+        w, v, g = tried[i], values[i], grads[i]
+        if s @ y > 0:
+            past = [*past, (s, y)][-MEMORY:]
+    return w @ to
+
+
+def _metric(u: Mean) -> np.ndarray:
+    second = u(lambda x: x.T @ x)
+    return second + 0.01 * np.eye(len(second))
+
+
+def fit_logistic(p: np.ndarray, u: np.ndarray | Mean, ridge: float = 1e-4) -> np.ndarray:
     """Tells p from u, with a half weight each."""
+    u = _mean(u)
 
-    def grad(w):
-        return -((1 - _sigmoid(p @ w)) @ p) / len(p) + (_sigmoid(u @ w) @ u) / len(u) + 1e-4 * w
+    def loss(w):
+        def sums(x):
+            z = x @ w.T
+            return np.concatenate([np.logaddexp(0, z).sum(axis=0)[:, None], _sigmoid(z).T @ x], axis=1)
 
-    return _adam(grad, p.shape[1], steps)
+        z, of_u = p @ w.T, u(sums)
+        return np.logaddexp(0, -z).mean(axis=0) + of_u[:, 0] + ridge / 2 * (w**2).sum(axis=1), of_u[:, 1:] - (1 - _sigmoid(z)).T @ p / len(p) + ridge * w
 
+    return _minimise(loss, _metric(u))
 
-def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 400, ridge: float = 1e-4) -> np.ndarray:
+
+def fit_nnpu(p: np.ndarray, u: np.ndarray | Mean, prior: float, ridge: float = 1e-4) -> np.ndarray:
     """Weights with the least non-negative risk. The sigmoid loss of z is sigmoid(-z)."""
+    u = _mean(u)
+
+    def loss(w):
+        def sums(x):
+            z = _sigmoid(x @ w.T)
+            return np.concatenate([z.sum(axis=0)[:, None], (z * (1 - z)).T @ x], axis=1)  # of the loss of u as negatives
 
-    def grad(w):
-        zp, zu = _sigmoid(p @ w), _sigmoid(u @ w)
-        dp, du = zp * (1 - zp), zu * (1 - zu)
-        up = (du @ u) / len(u)  # of the mean loss of u as negatives
-        pos = (dp @ p) / len(p)
-        if zu.mean() - prior * zp.mean() >= 0:
-            return -prior * pos + up - prior * pos + ridge * w
-        return -(up - prior * pos) + ridge * w
+        of_p, of_u = sums(p) / len(p), u(sums)
+        rest = of_u - prior * of_p
+        value = prior * (1 - of_p[:, 0]) + np.maximum(0, rest[:, 0])
+        return value + ridge / 2 * (w**2).sum(axis=1), -prior * of_p[:, 1:] + (rest[:, :1] >= 0) * rest[:, 1:] + ridge * w
 
-    return _adam(grad, p.shape[1], steps)
+    return _minimise(loss, _metric(u))
 
 
 def risk(p: np.ndarray, u: np.ndarray, w: np.ndarray, prior: float) -> float:
@@ -124,22 +177,40 @@ def _with_scores(measured: DataFrame, model: dict) -> DataFrame:
     return measured.withColumn("score", score(*NAMES))
 
 
+def _sum(measured: DataFrame, value: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all rows of value(texts x NAMES), which adds them up and has the same shape for any rows; exact but for what a task adds up itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                x = value(np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1))
+                total = x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([list(total.shape)], pa.list_(pa.int32())), pa.array([total.ravel()], pa.list_(pa.float64()))], ["shape", "x"])
+
+    rows = measured.select(*NAMES).mapInArrow(run, "shape array<int>, x array<double>").collect()
+    return np.array([math.fsum(x) for x in zip(*(r.x for r in rows))]).reshape(rows[0]["shape"])
+
+
 def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> dict | None:
     """The model: center, scale, weights, prior; None without positives. measured is style.table()."""
     good = labels.groupBy(F.col(f"`{id_col}`").cast("long").alias("doc_id")).agg(F.min(F.col(f"`{label_col}`")).alias("good")).where("good = 1").select("doc_id")
     trusted = written(measured.join(good, "doc_id").select("doc_id", *NAMES), "pu-trusted")
-    pick = lambda df, n: lowest(df, n, df.count(), F.xxhash64("doc_id", F.lit("pu")), *NAMES)
-    p, u = _inputs(pick(trusted, MAX_POSITIVES)), _inputs(pick(measured.select("doc_id", *NAMES), MAX_UNLABELLED))
-    if not len(p) or not len(u):
+    p = _inputs(lowest(trusted, MAX_POSITIVES, trusted.count(), F.xxhash64("doc_id", F.lit("pu")), *NAMES))
+    n = measured.count()
+    if not len(p) or not n:
         return None
-    center, scale = u.mean(axis=0), np.maximum(u.std(axis=0), 1e-6)
+    center = _sum(measured, lambda x: expand(x).sum(axis=0)) / n
+    scale = np.maximum(np.sqrt(_sum(measured, lambda x: ((expand(x) - center) ** 2).sum(axis=0)) / n), 1e-6)
     model = {"center": center.tolist(), "scale": scale.tolist()}
-    zp, zu = _standard(p, center, scale), _standard(u, center, scale)
-    model["weights"] = fit_logistic(zp, zu).tolist()
+    zp = _standard(p, center, scale)
+    all_rows = lambda value: _sum(measured, lambda x: value(_standard(expand(x), center, scale))) / n
+    model["weights"] = fit_logistic(zp, all_rows).tolist()
     at = lambda df: {r["b"]: r["n"] for r in _with_scores(df, model).groupBy(F.least(F.floor(F.lit(BINS) / (1 + F.exp(-F.col("score")))), F.lit(BINS - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     hists = [np.array([h.get(b, 0) for b in range(BINS)], float) for h in (at(trusted), at(measured))]
     model["prior"] = estimate_prior(*hists)
-    model["weights"] = fit_nnpu(zp, zu, model["prior"]).tolist()
+    model["weights"] = fit_nnpu(zp, all_rows, model["prior"]).tolist()
     return json.loads(json.dumps(model))
 
 

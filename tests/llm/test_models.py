@@ -6,6 +6,7 @@ import random
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,27 @@ def test_wrong_positive_labels_keep_no_junk(graded):
     assert np.mean([k for d, k in out.items() if d % 4]) > 0.97
 
 
+def test_model_is_of_all_documents(spark):
+    """Means, deviations and weights of a table past any sample's size equal those of all of its rows in numpy."""
+    rng = np.random.default_rng(6)
+    n = 60_000
+    x = rng.random((n, len(style.NAMES)))
+    x[:, 0] = rng.integers(1, 500, n)
+    good = np.arange(n) % 4 > 0
+    x[~good, 2] += 1
+    df = spark.createDataFrame(pa.table({"doc_id": np.arange(n), **{c: x[:, i] for i, c in enumerate(style.NAMES)}}))
+    labels = spark.range(0, 6000).where("id % 4 > 0").select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    model = pu.fit(df, labels)
+    u = pu.expand(x)
+    assert model["center"] == pytest.approx(u.mean(axis=0).tolist(), rel=1e-9)
+    assert model["scale"] == pytest.approx(u.std(axis=0).tolist(), rel=1e-9)
+    z = pu._standard(u, u.mean(axis=0), u.std(axis=0))
+    want = pu.fit_nnpu(z[:6000][good[:6000]], z, model["prior"])
+    s, t = z @ want, z @ np.array(model["weights"])
+    assert ((s >= 0) == (t >= 0)).mean() > 0.999
+    assert ((t >= 0) == good).mean() > 0.97
+
+
 def test_prior_and_risk():
     rng = np.random.default_rng(2)
     p = np.concatenate([rng.normal(2, 1, (3000, 1)), np.ones((3000, 1))], axis=1)
