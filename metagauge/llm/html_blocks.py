@@ -7,8 +7,13 @@ labelled table of blocks says which blocks are main text. Their texts, with
 character references resolved and white space collapsed, make the result, one
 line each.
 
-Comments and what stands in head, script, style and the like don't count. A
-tag ends at the first ``>``. Missing end tags do no harm.
+Comments and what stands in title, script, style, textarea, noscript, template,
+svg, select and button don't count. A head has no other text, so it may be left
+open. A tag ends at the first ``>``. Without an end tag, comments, script, style
+and textarea run to the end of the page; a title and a button end before the
+next block-level tag (or any tag, if there is none), a select before the first
+tag that is no option's, and of the others the tag alone is dropped. A svg tag that
+ends in ``/>`` is closed.
 
 Defined results: a null page has null text and 0 blocks; a page without blocks
 or without main text has "". Extra columns are ignored. Repeated rows have
@@ -28,7 +33,10 @@ from pyspark.sql import functions as F
 
 from .textcore import slices
 
-_DROP = re.compile(r"<!--.*?(?:-->|$)|<(head|script|style|noscript|template|svg|textarea|select|button)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+_OPEN = re.compile(r"<!--|<(title|script|style|textarea|noscript|template|svg|select|button)(?![^\s/>])[^>]*>", re.I)
+_CLOSE = {n: re.compile(rf"</{n}(?![^\s/>])[^>]*>", re.I) for n in ("script", "style", "textarea")}
+_EITHER = {n: re.compile(rf"<(/?){n}(?![^\s/>])[^>]*>", re.I) for n in ("noscript", "template", "svg", "select", "button")}
+_NOT_OPTION = re.compile(r"<(?!/?(?:option|optgroup|hr)(?![^\s/>]))[a-zA-Z/!?]", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9-]*)[^>]*>|<[!?/][^>]*>")
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 
@@ -101,9 +109,66 @@ def predict(tree: tuple, x: np.ndarray) -> np.ndarray:
     return np.where(x[:, f] <= cut, predict(low, x), predict(high, x))
 
 
+def _pairs(page: str, name: str) -> dict[int, int]:
+    """Ends of the elements of this name, which may nest, by their beginnings."""
+    ends, begun = {}, []
+    for m in _EITHER[name].finditer(page):
+        if m[1]:
+            if begun:
+                ends[begun.pop()] = m.end()
+        elif name != "svg" or not m[0].endswith("/>"):
+            begun.append(m.start())
+    return ends
+
+
+def _before_block(page: str, at: int) -> tuple[int, str]:
+    """Where the next tag begins that is not an inline one, and that tag; if there is none, the next tag or the end of the page."""
+    first = None
+    for m in _TAG.finditer(page, at):
+        if m[2] and m[2].lower() not in _INLINE:
+            return m.start(), m[0]
+        first = m.start() if first is None else first
+    return len(page) if first is None else first, ""
+
+
+def _without(page: str) -> str:
+    """The page, with a space for each thing that doesn't count."""
+    out, at = [], 0
+    pairs: dict[str, dict[int, int]] = {}
+    while m := _OPEN.search(page, at):
+        out.append(page[at : m.start()])
+        name, end = (m[1] or "").lower(), m.end()
+        if not name:
+            end = page.find("-->", m.start() + 2) + 3  # <!--> is a comment too
+            end = len(page) if end == 2 else end
+        elif name in _CLOSE:
+            close = _CLOSE[name].search(page, end)
+            end = close.end() if close else len(page)
+        elif name in ("svg", "template"):
+            if name not in pairs:
+                pairs[name] = _pairs(page, name)
+            end = pairs[name].get(m.start(), end)
+        elif name == "title":
+            end, tag = _before_block(page, end)
+            end += len(tag) if tag[:7].lower() == "</title" else 0
+        else:
+            other = _EITHER[name].search(page, end)  # these don't nest
+            if other and other[1]:
+                end = other.end()
+            elif name == "select":
+                stop = _NOT_OPTION.search(page, end)
+                end = stop.start() if stop else end
+            elif name == "button":
+                end = _before_block(page, end)[0]
+        out.append(" ")
+        at = end
+    out.append(page[at:])
+    return "".join(out)
+
+
 def blocks(page: str) -> list[tuple[str, int, int]]:
     """(text, words, words in links) of each block that has words."""
-    parts = _TAG.split(_DROP.sub(" ", page))
+    parts = _TAG.split(_without(page))
     out: list[tuple[str, int, int]] = []
     texts: list[str] = []
     n = linked = 0

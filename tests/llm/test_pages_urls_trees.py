@@ -154,6 +154,24 @@ def test_blocks_and_link_words():
     assert html_blocks.blocks(page) == [("One", 1, 1), ("Two three", 2, 1), ("a & bc d", 4, 0), ("tail", 1, 0)] or html_blocks.blocks(page)[2][0] == "a & bc d"
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<html><head><title>t</title><body>", "<head><title>t<meta charset=x><link rel=y><body>", "<head><script>x</script><title>t</title>", "<head><title>a <b>bold</b> t</title></head>", "<header></header>",
+        "<svg width=1 />", "<svg/>", "<svg><path d=x>", "<svg><svg/><svg><text>no</text></svg><text>no</text></svg>", "<p><button>no", "<button>no <b>no</b><div>", "<button>no<p>no</p></button>", "<select><option>no<option>no",
+        "<select><option>no</select>", "<noscript>", "<noscript><p>no</p></noscript>", "<template>", "<template><template></template><p>no</p></template>", "<!--> ", "<!-- <p>no -->", "<style>no</style >", "<textarea><p>no</textarea>",
+    ],
+)
+@pytest.mark.parametrize("after", ["", "<button>no</button>", "<svg><text>no</text></svg>", "<noscript>no</noscript>", "<select><option>no</select>", "<script>no", "<style>no", "<textarea>no", "<!-- no"])
+def test_missing_end_tags_lose_no_text(before, after):
+    assert html_blocks.blocks(f"{before}<p>one two three</p>{after}") == [("one two three", 3, 0)]
+
+
+def test_many_open_tags_take_no_square_time():
+    for tag in ("<svg>", "<button>", "<select>", "<noscript>", "<template>", "<title>", "<head>", "<!-->"):
+        assert html_blocks.blocks(tag * 50_000 + "<p>one two three</p>") == [("one two three", 3, 0)]
+
+
 def test_extract_awkward(spark):
     body = " ".join(["words"] * 60)
     rows = [(1, None), (2, ""), (3, "<p></p>"), (4, f"<nav><a>home</a> <a>more</a></nav><p>{body}</p>"), (4, f"<p>{body}</p>"), (None, "<p"), (6, "<" * 1000), (7, "<p>" + "long " * 200_000), (8, "&#0; &bogus; <a><p>x")]
