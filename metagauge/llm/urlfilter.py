@@ -11,7 +11,9 @@ is the candidate, so digest collisions cannot block a URL.
 The file is 8 + 8 bytes an entry besides the entries, and pages into memory as
 it is probed; nothing is broadcast.
 
-Defined results: null, empty and hostless URLs are not blocked. Host case,
+Defined results: null, empty and hostless URLs are not blocked. What stands
+before a colon is a host, not a scheme, if only digits follow up to the path (the
+SQL of the query takes it for a scheme). An entry of one label blocks all below it. Host case,
 ports, user names and a trailing dot don't matter; query and fragment neither;
 path case does. A null or blank entry is left out, repeated ones count once.
 Of several entries that block a URL, the one with the shortest host comes
@@ -36,7 +38,7 @@ from .scratch import _path, shared_dir
 BLOCKLIST = tuple(f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org"))
 
 _MAGIC = b"MGDA0001"
-_URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?(?:[^/?#@]*@)?([^/:?#\s]*)(?::[0-9]*)?([^?#\s]*)"
+_URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:(?![0-9]+(?:[/?#\s]|$)))?(?://)?(?:[^/?#@]*@)?([^/:?#\s]*)(?::[0-9]*)?([^?#\s]*)"
 
 
 def host(url: Column) -> Column:
@@ -52,7 +54,7 @@ def candidates(url: Column) -> Column:
     """array<string>: entries that would block the URL, domains from the shortest on, then paths from the shortest on."""
     labels = F.split(host(url), r"\.", -1)
     n = F.size(labels)
-    hosts = F.transform(F.sequence(F.least(n, F.lit(2)), n), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
+    hosts = F.transform(F.sequence(F.lit(1), n), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
     steps = F.split(path(url), "/", -1)
     paths = F.when(F.size(steps) > 1, F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.concat(host(url), F.array_join(F.slice(steps, F.lit(1), k), "/"))))
     return F.when(host(url) != "", F.concat(hosts, F.coalesce(paths, F.array().cast("array<string>"))))

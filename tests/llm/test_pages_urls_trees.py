@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metagauge.llm import html_blocks, merkle, urlfilter
+from metagauge.llm import html_blocks, merkle, queries, urlfilter
 
 
 def hexed(s: str) -> str:
@@ -100,6 +100,23 @@ def test_urls(spark):
     assert not urlfilter.blocked(df, urlfilter.build(spark, [])).where("blocked").count()
 
 
+def test_ports_without_scheme(spark):
+    index = urlfilter.build(spark, ["bad.example.com:8080", "ok.example.com:80/ads"])
+    urls = ["bad.example.com:8080/x", "a.bad.example.com:1", "bad.example.com:80?q", "bad.example.com:80#f", "ok.example.com:81/ads/1", "user:80@bad.example.com", "http:bad.example.com", "ok.example.com:81/x", "bad.example.com.evil.com:80/"]
+    got = {r.url: r.entry for r in urlfilter.blocked(spark.createDataFrame([(u,) for u in urls], "url string"), index).collect()}
+    assert [got[u] for u in urls] == ["bad.example.com"] * 4 + ["ok.example.com/ads"] + ["bad.example.com"] * 2 + [None] * 2
+
+
+def test_one_label_equals_sql(spark, duck):
+    entries = ["zip", "localhost", "bad.example.com"]
+    urls = ["http://a.zip/x", "https://a.b.ZIP.:80", "http://zip", "http://azip/", "http://zip.org/", "http://localhost:8080/x", "http://x.localhost", "http://www.bad.example.com", "http://com/", "http://a..zip", "http://", ""]
+    index = urlfilter.build(spark, entries)
+    got = {r.url: (r.blocked, r.entry) for r in urlfilter.blocked(spark.createDataFrame([(u,) for u in urls], "url string"), index).collect()}
+    sql = queries._URL_SQL.replace(queries._ENTRIES, ", ".join(f"('{e}')" for e in entries)).replace("from pages", "from (select 0 as page_id, unnest(?) as url)")
+    assert got == {url: (blocked, entry) for _, url, blocked, entry in duck.execute(sql, [urls]).fetchall()}
+    assert sum(b for b, _ in got.values()) == 7
+
+
 def test_large_list_equals_a_set(spark):
     rng = random.Random(2)
     hosts = [f"h{rng.randrange(40_000)}.example.com" for _ in range(20_000)]
