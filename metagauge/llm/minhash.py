@@ -198,8 +198,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row for each document that stays: doc_id, and in copies, sorted, the doc_ids of all of its group."""
+    """One row for each document that stays: doc_id, and in copies, sorted, the doc_ids of all of its group; null ones count and come first."""
     found = near_duplicates(docs, id_col, text_col, threshold).distinct()
-    by_id = [F.nullif(F.col(c), F.lit(NO_ID)) for c in ("root_key", K)]
-    out = found.groupBy("root_key", "root_hash").agg(F.sort_array(F.collect_list(by_id[1])).alias("copies"))
-    return out.select(by_id[0].alias("doc_id"), F.size("copies").alias("n_copies"), "copies")
+    by_id = lambda c: F.nullif(c, F.lit(NO_ID))
+    out = found.groupBy("root_key", "root_hash").agg(F.sort_array(F.collect_list(K)).alias("copies"))  # which drops nulls
+    return out.select(by_id(F.col("root_key")).alias("doc_id"), F.size("copies").alias("n_copies"), F.transform("copies", by_id).alias("copies"))

@@ -96,6 +96,13 @@ def test_components_of_a_long_path(spark):
     assert {got.get(n, n) for n in nodes} == {0} and {got.get(n, n) for n in (1000, 1001, 1002)} == {1000}
 
 
+def test_null_ids_count(spark):
+    text, far = words(1, 200), words(2, 200)
+    rows = [(None, text), (3, text), (5, text), (None, far), (9, words(3, 200))]
+    got = {(r.doc_id, r.n_copies, tuple(r.copies)) for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(None, 3, (None, 3, 5)), (None, 1, (None,)), (9, 1, (9,))}
+
+
 def test_near_dedup_awkward(awkward):
     out = minhash.near_dedup(awkward)
     assert out.columns == awkward.columns
