@@ -295,7 +295,12 @@ def id_lists(ids: np.ndarray, offsets: np.ndarray, valid: np.ndarray) -> pa.Arra
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: bytes | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids, library_equal, decoded_equal) of every row."""
+    """(doc_id, n_tokens, ids, library_equal, decoded_equal) of every row.
+
+    The library takes U+2581 for a space, so decoded_equal compares with the text
+    with each of these marks as a space: it is true although a text that has the
+    mark doesn't come back with it.
+    """
     model = model or load()
     Bpe(model)  # fails here rather than in a task
 
