@@ -2,26 +2,39 @@
 
 A window of ``min_words`` words that occurs more than once in the corpus is
 kept at its first place, by (doc_id, text hash, word position), and cut
-everywhere else. Lengths double:
-
-* ``min_words / 2``: of these windows a minimizer per window of ``min_words``
-  words is taken, so each repeated passage of ``min_words`` words has one at
-  the same place in each of its copies;
-* ``min_words``: only around those that repeat, every window is compared, which
-  makes cuts exact to the word;
-* twice, four times ... that: only windows that repeat at one length are
-  extended, until none is left. They tell how long a document's longest repeat
-  is (``longest_repeat``, a length of the series from ``min_words / 2`` on).
-
-Windows are grouped by the hash of their minimizer, so one shuffle of hashes
-serves all lengths from ``min_words`` on, and documents are shuffled once.
+everywhere else. Lengths double, and each level looks only at what the level
+before left:
+
+* ``min_words / 2``: of these windows a minimizer for each window of
+  ``min_words`` words is counted, so each repeated passage of ``min_words``
+  words has one that repeats at the same place in each of its copies;
+* ``min_words``: around minimizers that repeat, and nowhere else, every window
+  is compared. What repeats is cut but for its first place;
+* twice, four times ... that: a window is hashed only if both of its halves
+  repeat, until no candidate survives. They tell how long a document's longest
+  repeat is (``longest_repeat``, the longest of ``min_words``, twice, four
+  times ... that repeats; null where none does). Without a report these levels
+  are not run. The plan has as many as the longest text could need; adaptive
+  execution drops those after the first without survivors.
+
+Equal texts are one document for all of this: the first of them stands for the
+others, which are cut whole. Windows of a level are shuffled in lists, by the
+hash of the minimizer of their first ``min_words`` words, one row for each place
+of a minimizer. A minimizer with more than HOT places is hot: its windows are
+shuffled one by one, by their own hashes, and of those that are equal within a
+task only the first is (the others are neither the first in the corpus nor
+unique, whatever else there is). So no task gets a group that grows with a
+passage's copies. Tables between steps hold hashes, never texts; documents are
+shuffled once.
 
 Defined results: null or empty text, and text of fewer than ``min_words``
 words, stays as it is. A passage that repeats within one document is cut from
 its second place on. Rows with the same doc_id and text are one document: they
-are cut alike and all stay. A null doc_id sorts first. Words are separated by
-ASCII white space and compared byte for byte. Extra columns pass through;
-the names that are added are prefixed where they clash with input columns.
+are cut alike and all stay. doc_ids are integers (ValueError otherwise); a null
+one sorts first, as -2**63 does. Words are separated by
+ASCII white space and compared byte for byte (by 64-bit hashes of windows with
+the same minimizer). Extra columns pass through; the names that are added are
+prefixed where they clash with input columns.
 """
 
 from __future__ import annotations
@@ -30,16 +43,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textcore import SLICE_BYTES, Words, signed, slices
+from .columns import free, key
+from .scratch import written
+from .textcore import Words, mix, signed, slices
 
-NO_ID = -(2**63)
-K, H, TEXT = "_sd_key", "_sd_hash", "_sd_text"
-#: No text is longer than this many doublings of 2**31 bytes allow.
-LEVELS = 30
+#: A minimizer at more places than this is hot.
+HOT = 20_000
+#: Windows that a task compares at a time, but for groups that are larger.
+BLOCK = 300_000
 
 
 def minimizers(words: Words, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -57,18 +72,23 @@ def minimizers(words: Words, half: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return at, at + low, sums, h
 
 
-def _anchors(half: int):
+class Names:
+    """Columns that the steps add to documents, named so that they clash with none of theirs."""
+
+    def __init__(self, docs: DataFrame):
+        self.key, self.hash, self.hash2, self.text = (free(docs, f"_sd_{x}") for x in ("key", "hash", "hash2", "text"))
+        self.spots, self.marks, self.level, self.whole = (free(docs, f"_sd_{x}") for x in ("spots", "marks", "level", "whole"))
+
+
+def _anchors(half: int, text: str, hashed: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, TEXT):
-                words = Words.of(part.column(TEXT))
+            for part in slices(batch, text):
+                words = Words.of(part.column(text))
                 at, low, _, h = minimizers(words, half)
                 low = np.unique(low)
                 doc = words.doc[low]
-                key, th = part.column(K).to_numpy(), part.column(H).to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(h[low])), pa.array(key[doc]), pa.array(th[doc]), pa.array((low - words.first[doc]).astype(np.int32))], ["anchor", K, H, "at"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(signed(h[low])), part.column(hashed).take(pa.array(doc)), pa.array((low - words.first[doc]).astype(np.int32))], ["anchor", hashed, "at"])
 
     return run
 
@@ -79,88 +99,185 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def _windows(half: int):
-    """Around each repeated minimizer: hashes of its full windows and of ever longer ones from it on.
-
-    place has the minimizer's word << 16, the words from the first full window to it << 8, and how many of
-    the values are full windows. Both readers of these rows use all columns, so that Spark shuffles them once.
-    """
-    full = 2 * half
+#: Windows of one place of a minimizer: bit i of mask is for word lo + i, values are their hashes in order. Rows without values are settled; known ones are known to repeat.
+ROWS = pa.schema([("bucket", pa.int64()), ("k", pa.int64()), ("h", pa.int64()), ("lo", pa.int32()), ("mask", pa.int64()), ("hot", pa.bool_()), ("known", pa.bool_()), ("values", pa.list_(pa.int64()))])
+ROWS_SQL = "bucket long, k long, h long, lo int, mask long, hot boolean, known boolean, values array<long>"
+MARKS = ("lo", "hot", "again", "dead")
+MARKS_SQL = "k long, h long, lo int, hot boolean, again long, dead long"
+
+
+def _compared(group: tuple[np.ndarray, ...], k: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window whether its group has another place, and whether it has an earlier one."""
+    order = np.lexsort((at, h, k, *group))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([g[order[1:]] != g[order[:-1]] for g in group], axis=0)
+    begin = np.flatnonzero(new)
+    which = np.cumsum(new) - 1
+    first, last = order[begin], order[np.append(begin[1:], len(order)) - 1]
+    other = lambda a, b: (k[a] != k[b]) | (h[a] != h[b]) | (at[a] != at[b])
+    again, dead = np.empty(len(order), bool), np.empty(len(order), bool)
+    again[order], dead[order] = other(first, last)[which], other(order, first[which])
+    return again, dead
+
+
+class _Hot:
+    """Windows of hot minimizers, of which equal ones are settled within the task but for the first."""
+
+    def __init__(self):
+        self.parts: list[tuple] = []
+        self.n = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.n += len(columns[0])
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.n:
+            return
+        value, k, h, at = (np.concatenate(c) for c in zip(*self.parts))
+        self.parts, self.n = [], 0
+        again, dead = _compared((value,), k, h, at)
+        one = np.ones(len(k), bool)
+        bucket = np.where(dead, signed(mix((k ^ h).view(np.uint64))), signed(value))
+        lists = _lists(signed(value)[~dead], (~dead).astype(np.int64), pa.int64())
+        yield from _parts([bucket, k, h, at.astype(np.int32), one.astype(np.int64), one, again & ~dead], lists)
+
+
+def _parts(columns: list[np.ndarray], lists: pa.Array, most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(lists), most):
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[i : i + most]) for c in columns), lists.slice(i, most)], schema=ROWS)
+
+
+def _listed(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """What lists hold, and the row of each."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten(), np.repeat(np.arange(len(column)), pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+
+
+def _spots(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which repeated minimizers begin, ascending, and whether each is hot."""
+    code, doc = _listed(column)
+    code = np.unique(code.to_numpy(zero_copy_only=False) + 2 * words.first[doc])
+    return code >> 1, (code & 1).astype(bool)
+
+
+def _marked(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which windows begin that repeat at the level before, ascending, and whether their minimizers are hot."""
+    marks, doc = _listed(column)
+    lo, hot, again = (marks.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 2))
+    row, bit = np.nonzero((again[:, None] >> np.arange(63)) & 1)
+    start, at = np.unique(lo[row] + bit + words.first[doc[row]], return_index=True)
+    return start, hot[row[at]].astype(bool)
+
+
+def _windows(half: int, length: int, names: Names):
+    """Rows of candidates of this length: around spots if it is 2 * half words, else windows whose halves are both marked."""
+
+    def candidates(part: pa.RecordBatch, words: Words, at: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words at which they begin, their minimizers' words, whether these are hot."""
+        if length == 2 * half:
+            start, hot = _spots(part.column(names.spots), words)
+            place = np.minimum(np.searchsorted(start, low), len(start) - 1)
+            chosen = np.flatnonzero(start[place] == low) if len(start) else start
+            return at[chosen], low[chosen], hot[place[chosen]] if len(start) else hot
+        start, hot = _marked(part.column(names.marks), words)
+        if not len(start):
+            return start, start, hot
+        place = np.minimum(np.searchsorted(start, start + length // 2), len(start) - 1)
+        chosen = np.flatnonzero((start[place] == start + length // 2) & (words.doc[start[place]] == words.doc[start]))
+        return start[chosen], low[np.searchsorted(at, start[chosen])], hot[chosen]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot_ones = _Hot()
         for batch in batches:
-            for part in slices(batch, TEXT):
-                words = Words.of(part.column(TEXT))
+            for part in slices(batch, names.text):
+                words = Words.of(part.column(names.text))
                 at, low, sums, h = minimizers(words, half)
-                spots = part.column("anchors")
-                spots = spots.combine_chunks() if isinstance(spots, pa.ChunkedArray) else spots
-                size = np.diff(spots.offsets.to_numpy())
-                doc = np.repeat(np.arange(part.num_rows), size)
-                start = np.unique(spots.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + words.first[doc])
-                if not len(start):
+                if not len(at):
                     continue
-                chosen = np.isin(low, start)
-                at, low = at[chosen], low[chosen]
-                low, begin, counts = np.unique(low, return_index=True, return_counts=True)
-                hashes = words.windows(at, full, sums)
-                doc = words.doc[low]
-                room = words.first[doc + 1] - low
-                steps = np.zeros(len(low), np.int64)
-                length, rungs = full, []
-                while True:
-                    fits = room >= length
-                    if not fits.any():
-                        break
-                    steps += fits
-                    rungs.append((np.flatnonzero(fits), words.windows(low[fits], length, sums)))
-                    length *= 2
-                ladder = np.zeros(int(steps.sum()), np.uint64)
-                base = np.cumsum(steps) - steps
-                for k, (who, value) in enumerate(rungs):
-                    ladder[base[who] + k] = value
-                key, th = part.column(K).to_numpy(), part.column(H).to_numpy()
-                for i in range(0, len(low), 20_000):
-                    j = min(i + 20_000, len(low))
-                    a, b = begin[i], begin[j - 1] + counts[j - 1]
-                    c, d = base[i], base[j - 1] + steps[j - 1]
-                    own = doc[i:j]
-                    place = (low[i:j] - words.first[own]) << 16 | (low[i:j] - at[begin[i:j]]) << 8 | counts[i:j]
-                    both = counts[i:j] + steps[i:j]
-                    values = np.empty(int(both.sum()), np.uint64)
-                    is_window = np.arange(len(values)) - np.repeat(np.cumsum(both) - both, both) < np.repeat(counts[i:j], both)
-                    values[is_window], values[~is_window] = hashes[a:b], ladder[c:d]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(h[low[i:j]])), pa.array(key[own]), pa.array(th[own]), pa.array(place), _lists(signed(values), both, pa.int64())], ["anchor", K, H, "place", "values"]
-                    )
+                at, low, hot = candidates(part, words, at, low)
+                if not len(at):
+                    continue
+                value, doc = words.windows(at, length, sums), words.doc[at]
+                k, th = part.column(names.key).to_numpy(), part.column(names.hash).to_numpy()
+                if hot.any():
+                    hot_ones.add(value[hot], k[doc[hot]], th[doc[hot]], at[hot] - words.first[doc[hot]])
+                    if hot_ones.n > BLOCK:
+                        yield from hot_ones.flush()
+                    at, low, value, doc = at[~hot], low[~hot], value[~hot], doc[~hot]
+                    if not len(at):
+                        continue
+                begin = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+                counts = np.diff(np.append(begin, len(low)))
+                mask = np.add.reduceat(np.int64(1) << (at - np.repeat(at[begin], counts)), begin)
+                doc, no = doc[begin], np.zeros(len(begin), bool)
+                yield from _parts([signed(h[low[begin]]), k[doc], th[doc], (at[begin] - words.first[doc]).astype(np.int32), mask, no, no], _lists(signed(value), counts, pa.int64()))
+        yield from hot_ones.flush()
 
     return run
 
 
-def _cut(full: int, names: list[str], text: str, cuts: str, n_chars: str | None):
-    """Texts without the words that removable windows cover; cuts becomes the spans of words that went."""
+def _survive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks of rows, sorted by bucket, that have windows that repeat."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = batch.column("bucket").to_numpy()
+        if n > BLOCK:  # up to the batch's last bucket, which may go on in the next batch
+            cut = int(np.searchsorted(bucket, bucket[-1]))
+            if cut or held[-1].column("bucket")[-1].as_py() != bucket[0]:
+                yield _marks([*held, batch.slice(0, cut)])
+                held, n, batch = [], 0, batch.slice(cut)
+        held.append(batch)
+        n += len(batch.column("values").flatten())
+    if held:
+        yield _marks(held)
+
+
+def _marks(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    bucket, k, h, lo, mask, hot, known = (rows.column(c).to_numpy(zero_copy_only=False) for c in ROWS.names[:-1])
+    value, row = _listed(rows.column("values"))
+    value = value.to_numpy(zero_copy_only=False)
+    listed = np.zeros(len(k), bool)
+    listed[row] = True
+    again_bits, dead_bits = np.where(listed, 0, mask), np.where(listed, 0, mask)
+    if len(row):
+        bit = np.nonzero(((mask * listed)[:, None] >> np.arange(63)) & 1)[1]
+        again, dead = _compared((value, bucket[row]), k[row], h[row], lo[row] + bit)
+        again |= known[row]
+        begin = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+        again_bits[row[begin]] = np.add.reduceat(again.astype(np.int64) << bit, begin)
+        dead_bits[row[begin]] = np.add.reduceat(dead.astype(np.int64) << bit, begin)
+    left = np.flatnonzero(again_bits)
+    return pa.RecordBatch.from_arrays([pa.array(c[left]) for c in (k, h, lo, hot.astype(bool), again_bits, dead_bits)], ["k", "h", *MARKS])
+
+
+def _cut(full: int, columns: list[str], text: str, cuts: str, longest: str, whole: str, n_chars: str | None):
+    """Texts without the words that dead windows cover; cuts becomes the spans of words that went, longest is completed for texts that occur more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                spans = part.column(cuts)
-                spans = spans.combine_chunks() if isinstance(spans, pa.ChunkedArray) else spans
-                rows = np.flatnonzero(np.asarray(spans.is_valid()))
+                marks = part.column(cuts)
+                marks = marks.combine_chunks() if isinstance(marks, pa.ChunkedArray) else marks
+                twice = part.column(whole).to_numpy(zero_copy_only=False)
+                rows = np.flatnonzero(np.asarray(marks.is_valid()) | (twice > 0))
                 texts = part.column(text)
-                out, gone = None, [None] * part.num_rows
+                out, gone, most = None, [None] * part.num_rows, part.column(longest).to_pylist()
                 if len(rows):
                     words = Words.of(texts)
-                    out = texts.to_pylist()
                     data = words.data.tobytes()
                     for r in rows.tolist():
-                        runs = spans[r].as_py()
                         n, first = int(words.counts[r]), int(words.first[r])
-                        flags = np.zeros(n + 1, np.int64)
-                        starts = np.concatenate([x["lo"] + np.flatnonzero((x["mask"] >> np.arange(64)) & 1) for x in runs])
-                        np.add.at(flags, starts, 1)
-                        np.add.at(flags, starts + full, -1)
-                        dead = np.cumsum(flags[:n]) > 0
-                        edges = np.flatnonzero(np.diff(np.concatenate(([0], dead.astype(np.int8), [0]))))
-                        edges = edges.reshape(-1, 2).tolist()
+                        if twice[r] and n >= full:
+                            most[r] = max(most[r] or 0, full << (n // full).bit_length() - 1)
+                        edges = [[0, n]] if twice[r] == 2 and n >= full else _spans(marks[r].as_py(), n, full)
+                        if not edges:
+                            continue
+                        out = texts.to_pylist() if out is None else out
                         at, pieces = int(words.offsets[r]), []
                         for a, b in edges:
                             pieces.append(data[at : int(words.start[first + a])])
@@ -171,87 +288,91 @@ def _cut(full: int, names: list[str], text: str, cuts: str, n_chars: str | None)
                             out[r] = out[r].rstrip(" \t\n\r\x0b\x0c")
                         gone[r] = [{"start": a, "end": b} for a, b in edges]
                 arrays = []
-                for name in names:
+                for name in columns:
                     c = part.column(name)
                     if name == text and out is not None:
                         c = pa.array(out, c.type)
                     elif name == cuts:
                         c = pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+                    elif name == longest:
+                        c = pa.array(most, pa.int32())
                     elif name == n_chars and out is not None:
-                        old = c.to_pylist()
-                        c = pa.array([len(out[i]) if gone[i] else v for i, v in enumerate(old)], c.type)
+                        c = pa.array([len(out[i]) if gone[i] else v for i, v in enumerate(c.to_pylist())], c.type)
                     arrays.append(c)
-                yield pa.RecordBatch.from_arrays(arrays, names)
+                yield pa.RecordBatch.from_arrays(arrays, columns)
 
     return run
 
 
-def _free(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name = "_" + name
-    return name
+def _spans(marks: list[dict] | None, n: int, full: int) -> list[list[int]]:
+    """Runs of the n words that dead windows cover."""
+    flags = np.zeros(n + 1, np.int64)
+    for x in marks or ():
+        if x["dead"]:
+            start = x["lo"] + np.flatnonzero((x["dead"] >> np.arange(63)) & 1)
+            np.add.at(flags, start, 1)
+            np.add.at(flags, start + full, -1)
+    covered = (np.cumsum(flags[:n]) > 0).astype(np.int8)
+    return np.flatnonzero(np.diff(np.concatenate(([0], covered, [0])))).reshape(-1, 2).tolist()
 
 
-def repeated_windows(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """Per document with repeats: cuts (lo, mask of removable window starts) and longest_repeat.
+def _level(found: DataFrame, half: int, length: int, names: Names) -> DataFrame:
+    """(key, hash, marks) of documents with windows of this length that repeat."""
+    rows = found.mapInArrow(_windows(half, length, names), ROWS_SQL).repartition("bucket").sortWithinPartitions("bucket")
+    marks = rows.mapInArrow(_survive, MARKS_SQL)
+    return marks.groupBy(F.col("k").alias(names.key), F.col("h").alias(names.hash)).agg(F.collect_list(F.struct(*MARKS)).alias(names.marks))
 
-    docs has _sd_key, _sd_hash, _sd_text, and whatever else, which is ignored.
-    """
+
+def repeats(docs: DataFrame, names: Names, min_words: int, report: bool, hot: int) -> DataFrame:
+    """(key, hash, marks, level, whole) of documents with repeats; whole is 2 for later copies of an equal text, 1 for the first of several."""
     half = min_words // 2
     if min_words % 2 or not 4 <= half <= 62:
         raise ValueError("min_words must be even, from 8 to 124")
-    anchors = docs.select(K, H, TEXT).mapInArrow(_anchors(half), f"anchor long, {K} long, {H} long, at int")
-    place = F.struct(K, H, "at")
-    by = Window.partitionBy("anchor")
-    twice = anchors.withColumn("lo_at", F.min(place).over(by)).withColumn("hi_at", F.max(place).over(by)).where("lo_at != hi_at")
-    spots = twice.groupBy(K, H).agg(F.collect_list("at").alias("anchors"))
-    found = docs.join(spots, [K, H], "left").where(F.col("anchors").isNotNull())
-    wide = found.mapInArrow(_windows(half), f"anchor long, {K} long, {H} long, place long, values array<long>").repartition("anchor")
-    at, n = F.expr("cast(shiftright(place, 16) as int)"), F.expr("cast(place & 255 as int)")
-    lo = F.expr("cast(shiftright(place, 16) - (shiftright(place, 8) & 255) as int)")
-
-    each = wide.select("anchor", K, H, lo.alias("lo"), F.posexplode_outer(F.slice("values", F.lit(1), n)).alias("i", "hash"))
-    first = Window.partitionBy("anchor", "hash")
-    spot = F.struct(K, H, F.col("lo") + F.col("i"))
-    later = each.withColumn("least", F.min(spot).over(first)).where(F.col("least") != spot)
-    masks = later.groupBy("anchor", K, H, "lo").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask")).select(K, H, "lo", "mask", F.lit(0).alias("longest"))
-
-    # Level by level: (1 + levels) is the number of lengths, from min_words on, at which the window from this minimizer on repeats.
-    most = docs.select(F.max(F.length(TEXT))).first()[0] or 0
-    tall = wide.select("anchor", K, H, at.alias("at"), F.slice("values", n + 1, F.size("values")).alias("ladder")).withColumn("alive", F.lit(True)).withColumn("longest", F.lit(half))
-    level, length = 0, min_words
-    while 2 * length <= most + 2 and level < LEVELS:
-        by = Window.partitionBy("anchor", "rung")
-        tall = (
-            tall.withColumn("rung", F.when(F.col("alive"), F.get("ladder", F.lit(level))))
-            .withColumn("least", F.min(F.struct(K, H, "at")).over(by)).withColumn("most", F.max(F.struct(K, H, "at")).over(by))
-            .withColumn("alive", F.col("rung").isNotNull() & (F.col("least") != F.col("most")))
-            .withColumn("longest", F.when(F.col("alive"), F.lit(length)).otherwise(F.col("longest"))).drop("least", "most", "rung")
-        )
-        level, length = level + 1, 2 * length
-    longest = tall.groupBy(K, H).agg(F.max("longest").alias("longest")).select(K, H, F.lit(None).cast("int").alias("lo"), F.lit(None).cast("long").alias("mask"), "longest")
-    both = masks.unionByName(longest)
-    return both.groupBy(K, H).agg(
-        F.collect_list(F.when(F.col("lo").isNotNull(), F.struct("lo", "mask"))).alias("cuts"), F.greatest(F.max("longest"), F.when(F.count("lo") > 0, F.lit(min_words))).alias("longest_repeat")
-    )
-
-
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, report: bool = True) -> DataFrame:
+    k, h = names.key, names.hash
+    anchors = docs.select(h, names.text).mapInArrow(_anchors(half, names.text, h), f"anchor long, `{h}` long, at int")
+    place = F.xxhash64(h, "at")
+    counted = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"))
+    repeated = written(counted.where("a != b").select("anchor", (F.col("n") > hot).cast("int").alias("hot")), "sd-minimizers")
+    spots = anchors.join(repeated, "anchor").groupBy(h).agg(F.collect_set(F.col("at").cast("long") * 2 + F.col("hot")).alias(names.spots))
+
+    ids = docs.select(k, h, names.hash2)
+    heads = ids.groupBy(h, names.hash2).agg(F.min(k).alias("head"), F.max(k).alias("last"))
+    found = docs.join(heads.select(h, F.col("head").alias(k)).join(spots, h), [k, h])
+    level = _level(found, half, min_words, names)
+    nothing = {names.marks: F.lit(None).cast("array<struct<lo:int,hot:boolean,again:long,dead:long>>"), names.level: F.lit(None).cast("int"), names.whole: F.lit(0)}
+    columns = [k, h, *nothing]
+    out = level.withColumns({**nothing, names.marks: F.col(names.marks), names.level: F.lit(min_words)}).select(columns)
+    if report:
+        longest = (docs.select(F.max(F.length(names.text))).first()[0] or 0) // 2 + 1  # words are parted
+        length = 2 * min_words
+        while length <= longest:
+            level = _level(docs.join(level, [k, h]), half, length, names)
+            out = out.union(level.select(k, h).withColumns({**nothing, names.level: F.lit(length)}).select(columns))
+            length *= 2
+    copies = ids.join(heads.where("head != last"), [h, names.hash2]).select(k, h, F.when(F.col(k) == F.col("head"), 1).otherwise(2).alias(names.whole))
+    out = out.union(copies.withColumns({**nothing, names.whole: F.col(names.whole)}).select(columns))
+    return out.groupBy(k, h).agg(F.first(names.marks, ignorenulls=True).alias(names.marks), F.max(names.level).alias(names.level), F.max(names.whole).alias(names.whole))
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, report: bool = True, hot: int = HOT) -> DataFrame:
     """Documents without the later copies of repeated passages.
 
     All input columns, with the text cut and n_chars, where there is one, set
     anew for texts that were; with report also ``cuts`` (start, end word of
     each span that went; null where none did) and ``longest_repeat``.
     """
-    names = docs.columns
-    cuts, longest = _free(docs, "cuts"), _free(docs, "longest_repeat")
-    keyed = docs.withColumns({K: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), H: F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), TEXT: F.col(f"`{text_col}`")})
-    keyed = keyed.select(K, H, TEXT, *[f"`{c}`" for c in names if c != text_col])
-    found = repeated_windows(keyed, min_words).withColumnsRenamed({"cuts": cuts, "longest_repeat": longest})
-    found = found.withColumn(cuts, F.when(F.size(cuts) > 0, F.col(cuts)))
-    joined = keyed.join(found, [K, H], "left").select(*[F.col(TEXT).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in names], F.col(cuts), F.col(longest))
-    n_chars = "n_chars" if "n_chars" in names and "n_chars" not in (id_col, text_col) and dict(docs.dtypes)["n_chars"] in ("bigint", "int") else None
-    whole = joined.columns
-    schema = T.StructType([f for f in joined.schema.fields if f.name not in (cuts, longest)] + [T.StructField(cuts, T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))), T.StructField(longest, T.IntegerType())])
-    out = joined.mapInArrow(_cut(2 * (min_words // 2), whole, text_col, cuts, n_chars), schema)
-    return out if report else out.select(*[f"`{c}`" for c in names])
+    columns = docs.columns
+    names = Names(docs)
+    text = F.col(f"`{text_col}`")
+    known = F.coalesce(text, F.lit(""))
+    keyed = docs.withColumns({names.key: key(docs, id_col), names.hash: F.xxhash64(known), names.hash2: F.xxhash64(known, F.lit(1)), names.text: text})
+    keyed = keyed.select(names.key, names.hash, names.hash2, names.text, *[f"`{c}`" for c in columns if c != text_col])
+    found = repeats(keyed, names, min_words, report, hot)
+    cuts, longest = free(docs, "cuts"), free(docs, "longest_repeat")
+    own = [F.col(names.text).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in columns]
+    joined = keyed.join(found, [names.key, names.hash], "left").select(*own, F.col(names.marks).alias(cuts), F.col(names.level).alias(longest), F.coalesce(names.whole, F.lit(0)).alias(names.whole))
+    n_chars = "n_chars" if "n_chars" in columns and "n_chars" not in (id_col, text_col) and dict(docs.dtypes)["n_chars"] in ("bigint", "int") else None
+    spans = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    schema = T.StructType([*joined.schema.fields[:-3], T.StructField(cuts, spans), T.StructField(longest, T.IntegerType())])
+    out = joined.mapInArrow(_cut(min_words, [*columns, cuts, longest], text_col, cuts, longest, names.whole, n_chars), schema)
+    return out if report else out.select(*[f"`{c}`" for c in columns])

@@ -114,9 +114,6 @@ def test_near_dedup_awkward(awkward):
     assert minhash.groups(awkward).count() >= 5
 
 
-# ---- substring dedup ----------------------------------------------------------
-
-
 def brute(rows: list[tuple[int, str]], n: int) -> dict[int, list[str]]:
     """Words left of each document, which have different doc_ids."""
     first, out = {}, {}
@@ -162,21 +159,39 @@ def corpus(seed: int, n: int) -> list[tuple[int, str]]:
     return rows
 
 
-@pytest.mark.parametrize(("seed", "n"), [(1, 8), (2, 8), (3, 20), (4, 50)])
-def test_cuts_equal_brute_force(spark, seed, n):
+@pytest.mark.parametrize(("seed", "n", "hot"), [(1, 8, substring.HOT), (2, 8, substring.HOT), (2, 8, 2), (3, 20, 1), (4, 50, substring.HOT), (4, 50, 3)])
+def test_cuts_equal_brute_force(spark, seed, n, hot):
+    """Also with minimizers that are hot from few places on."""
     rows = corpus(seed, n)
-    out = substring.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), min_words=n).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = substring.substring_dedup(df, min_words=n, hot=hot).collect()
     want = brute(rows, n)
     assert {r.doc_id: r.text.split() for r in out} == want
     most = longest(rows, n)
     for r in out:
         before = dict(rows)[r.doc_id]
         assert (r.cuts is None) == (len(want[r.doc_id]) == len(before.split()))
-        assert (r.longest_repeat or 0) <= most[r.doc_id]
-        if most[r.doc_id] >= n:
-            assert r.longest_repeat >= n
+        assert r.longest_repeat == (most[r.doc_id] if most[r.doc_id] >= n else None)
         if r.cuts is None:
             assert r.text == before
+    if hot < substring.HOT:
+        assert {r.doc_id: r.text.split() for r in substring.substring_dedup(df, min_words=n, hot=hot, report=False).collect()} == want
+
+
+def test_blocks_of_buckets_are_whole(spark, monkeypatch):
+    """Buckets that span batches and blocks are compared as one."""
+    rng = np.random.default_rng(8)
+    bucket = np.sort(rng.integers(0, 40, 3000))
+    value, k = rng.integers(0, 30, 3000), rng.integers(0, 300, 3000)
+    no = np.zeros(3000, bool)
+    one = substring._parts([bucket, k, k * 7, np.zeros(3000, np.int32), np.ones(3000, np.int64), no, no], substring._lists(value, np.ones(3000, np.int64), substring.pa.int64()), most=100)
+    monkeypatch.setattr(substring, "BLOCK", 50)
+    got = [r for b in substring._survive(iter(list(one))) for r in b.to_pylist()]
+    group = defaultdict(set)
+    for b, v, d in zip(bucket.tolist(), value.tolist(), k.tolist()):
+        group[b, v].add(d)
+    want = sorted((d, int(min(group[b, v]) != d)) for b, v, d in zip(bucket.tolist(), value.tolist(), k.tolist()) if len(group[b, v]) > 1)
+    assert sorted((r["k"], r["dead"]) for r in got) == want and all(r["again"] == 1 for r in got)
 
 
 def test_cuts_on_documents_equal_brute_force(spark, docs):
