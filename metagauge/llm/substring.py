@@ -14,8 +14,8 @@ before left:
   repeat, until no candidate survives. They tell how long a document's longest
   repeat is (``longest_repeat``, the longest of ``min_words``, twice, four
   times ... that repeats; null where none does). Without a report these levels
-  are not run. The plan has as many as the longest text could need; adaptive
-  execution drops those after the first without survivors.
+  are not run. The plan has as many as the farthest repeated minimizer allows;
+  a document without survivors goes through the rest without its text.
 
 Equal texts are one document for all of this: the first of them stands for the
 others, which are cut whole. Windows of a level are shuffled in lists, by the
@@ -99,7 +99,8 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-#: Windows of one place of a minimizer: bit i of mask is for word lo + i, values are their hashes in order. Rows without values are settled; known ones are known to repeat.
+#: Windows of one place of a minimizer: bit i of mask is for word lo + i, values are their hashes in order. Rows without values are settled, those
+#: without a mask have a document's last level in lo; known ones are known to repeat.
 ROWS = pa.schema([("bucket", pa.int64()), ("k", pa.int64()), ("h", pa.int64()), ("lo", pa.int32()), ("mask", pa.int64()), ("hot", pa.bool_()), ("known", pa.bool_()), ("values", pa.list_(pa.int64()))])
 ROWS_SQL = "bucket long, k long, h long, lo int, mask long, hot boolean, known boolean, values array<long>"
 MARKS = ("lo", "hot", "again", "dead")
@@ -154,6 +155,11 @@ def _listed(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return column.flatten(), np.repeat(np.arange(len(column)), pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))
 
 
+def _bits(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of each bit that is set, in order."""
+    return np.nonzero(np.unpackbits(np.ascontiguousarray(mask, "<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+
+
 def _spots(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Words at which repeated minimizers begin, ascending, and whether each is hot."""
     code, doc = _listed(column)
@@ -165,7 +171,7 @@ def _marked(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Words at which windows begin that repeat at the level before, ascending, and whether their minimizers are hot."""
     marks, doc = _listed(column)
     lo, hot, again = (marks.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 2))
-    row, bit = np.nonzero((again[:, None] >> np.arange(63)) & 1)
+    row, bit = _bits(again)
     start, at = np.unique(lo[row] + bit + words.first[doc[row]], return_index=True)
     return start, hot[row[at]].astype(bool)
 
@@ -192,6 +198,8 @@ def _windows(half: int, length: int, names: Names):
         for batch in batches:
             for part in slices(batch, names.text):
                 words = Words.of(part.column(names.text))
+                if length > 2 * half:
+                    yield _carried(part, names)
                 at, low, sums, h = minimizers(words, half)
                 if not len(at):
                     continue
@@ -217,6 +225,12 @@ def _windows(half: int, length: int, names: Names):
     return run
 
 
+def _carried(part: pa.RecordBatch, names: Names) -> pa.RecordBatch:
+    k, h = part.column(names.key).to_numpy(), part.column(names.hash).to_numpy()
+    no = np.zeros(len(k), bool)
+    return next(_parts([signed(mix((k ^ h).view(np.uint64))), k, h, part.column(names.level).to_numpy(), no.astype(np.int64), no, no], _lists(k[:0], no.astype(np.int64), pa.int64()), len(k)))
+
+
 def _survive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks of rows, sorted by bucket, that have windows that repeat."""
     held: list[pa.RecordBatch] = []
@@ -231,7 +245,7 @@ def _survive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _marks([*held, batch.slice(0, cut)])
                 held, n, batch = [], 0, batch.slice(cut)
         held.append(batch)
-        n += len(batch.column("values").flatten())
+        n += batch.num_rows + len(batch.column("values").flatten())
     if held:
         yield _marks(held)
 
@@ -245,13 +259,13 @@ def _marks(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     listed[row] = True
     again_bits, dead_bits = np.where(listed, 0, mask), np.where(listed, 0, mask)
     if len(row):
-        bit = np.nonzero(((mask * listed)[:, None] >> np.arange(63)) & 1)[1]
+        bit = _bits(mask * listed)[1]
         again, dead = _compared((value, bucket[row]), k[row], h[row], lo[row] + bit)
         again |= known[row]
         begin = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
         again_bits[row[begin]] = np.add.reduceat(again.astype(np.int64) << bit, begin)
         dead_bits[row[begin]] = np.add.reduceat(dead.astype(np.int64) << bit, begin)
-    left = np.flatnonzero(again_bits)
+    left = np.flatnonzero((again_bits != 0) | (mask == 0))
     return pa.RecordBatch.from_arrays([pa.array(c[left]) for c in (k, h, lo, hot.astype(bool), again_bits, dead_bits)], ["k", "h", *MARKS])
 
 
@@ -309,7 +323,7 @@ def _spans(marks: list[dict] | None, n: int, full: int) -> list[list[int]]:
     flags = np.zeros(n + 1, np.int64)
     for x in marks or ():
         if x["dead"]:
-            start = x["lo"] + np.flatnonzero((x["dead"] >> np.arange(63)) & 1)
+            start = x["lo"] + _bits(np.array([x["dead"]]))[1]
             np.add.at(flags, start, 1)
             np.add.at(flags, start + full, -1)
     covered = (np.cumsum(flags[:n]) > 0).astype(np.int8)
@@ -317,10 +331,13 @@ def _spans(marks: list[dict] | None, n: int, full: int) -> list[list[int]]:
 
 
 def _level(found: DataFrame, half: int, length: int, names: Names) -> DataFrame:
-    """(key, hash, marks) of documents with windows of this length that repeat."""
+    """(key, hash, marks, level) of documents: marks of windows of this length that repeat, and the last level at which some did."""
     rows = found.mapInArrow(_windows(half, length, names), ROWS_SQL).repartition("bucket").sortWithinPartitions("bucket")
     marks = rows.mapInArrow(_survive, MARKS_SQL)
-    return marks.groupBy(F.col("k").alias(names.key), F.col("h").alias(names.hash)).agg(F.collect_list(F.struct(*MARKS)).alias(names.marks))
+    live = F.col("again") != 0
+    return marks.groupBy(F.col("k").alias(names.key), F.col("h").alias(names.hash)).agg(
+        F.collect_list(F.when(live, F.struct(*MARKS))).alias(names.marks), F.max(F.when(live, F.lit(length)).otherwise(F.col("lo"))).alias(names.level)
+    )
 
 
 def repeats(docs: DataFrame, names: Names, min_words: int, report: bool, hot: int) -> DataFrame:
@@ -331,26 +348,26 @@ def repeats(docs: DataFrame, names: Names, min_words: int, report: bool, hot: in
     k, h = names.key, names.hash
     anchors = docs.select(h, names.text).mapInArrow(_anchors(half, names.text, h), f"anchor long, `{h}` long, at int")
     place = F.xxhash64(h, "at")
-    counted = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"))
-    repeated = written(counted.where("a != b").select("anchor", (F.col("n") > hot).cast("int").alias("hot")), "sd-minimizers")
-    spots = anchors.join(repeated, "anchor").groupBy(h).agg(F.collect_set(F.col("at").cast("long") * 2 + F.col("hot")).alias(names.spots))
+    counted = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"), F.max("at").alias("far"))
+    repeated = written(counted.where("a != b").select("anchor", (F.col("n") > hot).cast("int").alias("hot"), "far"), "sd-minimizers")
+    spots = anchors.join(repeated.select("anchor", "hot"), "anchor").groupBy(h).agg(F.collect_set(F.col("at").cast("long") * 2 + F.col("hot")).alias(names.spots))
 
     ids = docs.select(k, h, names.hash2)
     heads = ids.groupBy(h, names.hash2).agg(F.min(k).alias("head"), F.max(k).alias("last"))
     found = docs.join(heads.select(h, F.col("head").alias(k)).join(spots, h), [k, h])
-    level = _level(found, half, min_words, names)
-    nothing = {names.marks: F.lit(None).cast("array<struct<lo:int,hot:boolean,again:long,dead:long>>"), names.level: F.lit(None).cast("int"), names.whole: F.lit(0)}
-    columns = [k, h, *nothing]
-    out = level.withColumns({**nothing, names.marks: F.col(names.marks), names.level: F.lit(min_words)}).select(columns)
+    first = last = _level(found, half, min_words, names)
     if report:
-        longest = (docs.select(F.max(F.length(names.text))).first()[0] or 0) // 2 + 1  # words are parted
+        longest = (repeated.select(F.max("far")).first()[0] or 0) + min_words  # the last window of a repeat has a minimizer that repeats
         length = 2 * min_words
         while length <= longest:
-            level = _level(docs.join(level, [k, h]), half, length, names)
-            out = out.union(level.select(k, h).withColumns({**nothing, names.level: F.lit(length)}).select(columns))
+            found = docs.join(last, [k, h]).withColumn(names.text, F.when(F.size(names.marks) > 0, F.col(names.text)))
+            last = _level(found, half, length, names)
             length *= 2
     copies = ids.join(heads.where("head != last"), [h, names.hash2]).select(k, h, F.when(F.col(k) == F.col("head"), 1).otherwise(2).alias(names.whole))
-    out = out.union(copies.withColumns({**nothing, names.whole: F.col(names.whole)}).select(columns))
+    parts = [first.select(k, h, names.marks, names.level), copies]
+    out, *rest = [*parts, last.select(k, h, names.level)] if report else parts
+    for more in rest:
+        out = out.unionByName(more, allowMissingColumns=True)
     return out.groupBy(k, h).agg(F.first(names.marks, ignorenulls=True).alias(names.marks), F.max(names.level).alias(names.level), F.max(names.whole).alias(names.whole))
 
 
