@@ -57,26 +57,25 @@ HOT = 20_000
 BLOCK = 300_000
 
 
-def minimizers(words: Words, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of all windows of 2 * half words, the minimizer's start for each, sums, and hashes of half-length windows."""
-    sums = words.sums()
+def minimizers(words: Words, half: int, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of all windows of 2 * half words, the minimizer's start for each, and hashes of half-length windows."""
     m = len(words.hash) - half + 1
     at = words.fits(2 * half)
     if not len(at):
-        return at, at, sums, np.zeros(0, np.uint64)
+        return at, at, np.zeros(0, np.uint64)
     h = words.windows(np.arange(m), half, sums)
     view = np.lib.stride_tricks.sliding_window_view(h, half + 1)
     low = np.empty(len(at), np.int64)
     for i in range(0, len(at), 1 << 16):
         low[i : i + (1 << 16)] = view[at[i : i + (1 << 16)]].argmin(axis=1)
-    return at, at + low, sums, h
+    return at, at + low, h
 
 
 class Names:
     """Columns that the steps add to documents, named so that they clash with none of theirs."""
 
     def __init__(self, docs: DataFrame):
-        self.key, self.hash, self.hash2, self.text = (free(docs, f"_sd_{x}") for x in ("key", "hash", "hash2", "text"))
+        self.key, self.hash, self.text = (free(docs, f"_sd_{x}") for x in ("key", "hash", "text"))
         self.spots, self.marks, self.level, self.whole = (free(docs, f"_sd_{x}") for x in ("spots", "marks", "level", "whole"))
 
 
@@ -85,7 +84,7 @@ def _anchors(half: int, text: str, hashed: str):
         for batch in batches:
             for part in slices(batch, text):
                 words = Words.of(part.column(text))
-                at, low, _, h = minimizers(words, half)
+                _, low, h = minimizers(words, half, words.sums())
                 low = np.unique(low)
                 doc = words.doc[low]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(h[low])), part.column(hashed).take(pa.array(doc)), pa.array((low - words.first[doc]).astype(np.int32))], ["anchor", hashed, "at"])
@@ -103,8 +102,8 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
 #: without a mask have a document's last level in lo; known ones are known to repeat.
 ROWS = pa.schema([("bucket", pa.int64()), ("k", pa.int64()), ("h", pa.int64()), ("lo", pa.int32()), ("mask", pa.int64()), ("hot", pa.bool_()), ("known", pa.bool_()), ("values", pa.list_(pa.int64()))])
 ROWS_SQL = "bucket long, k long, h long, lo int, mask long, hot boolean, known boolean, values array<long>"
-MARKS = ("lo", "hot", "again", "dead")
-MARKS_SQL = "k long, h long, lo int, hot boolean, again long, dead long"
+MARKS = ("bucket", "lo", "hot", "again", "dead")
+MARKS_SQL = "k long, h long, bucket long, lo int, hot boolean, again long, dead long"
 
 
 def _compared(group: tuple[np.ndarray, ...], k: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,43 +166,46 @@ def _spots(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return code >> 1, (code & 1).astype(bool)
 
 
-def _marked(column: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Words at which windows begin that repeat at the level before, ascending, and whether their minimizers are hot."""
-    marks, doc = _listed(column)
-    lo, hot, again = (marks.field(f).to_numpy(zero_copy_only=False) for f in (0, 1, 2))
+def _around_spots(part: pa.RecordBatch, words: Words, half: int, sums: np.ndarray, names: Names) -> tuple[np.ndarray, ...]:
+    """Windows of 2 * half words around spots: words at which they begin, ascending, minimizers' hashes and whether they are hot, and a number for each minimizer's place."""
+    at, low, h = minimizers(words, half, sums)
+    start, hot = _spots(part.column(names.spots), words)
+    if not len(start) or not len(at):
+        return at[:0], h[:0].view(np.int64), np.zeros(0, bool), at[:0]
+    place = np.minimum(np.searchsorted(start, low), len(start) - 1)
+    chosen = np.flatnonzero(start[place] == low)
+    return at[chosen], signed(h[low[chosen]]), hot[place[chosen]], low[chosen]
+
+
+def _with_both_halves(part: pa.RecordBatch, words: Words, length: int, names: Names) -> tuple[np.ndarray, ...]:
+    """The same of windows of which both halves are marked."""
+    marks, doc = _listed(part.column(names.marks))
+    bucket, lo, hot, again = (marks.field(f).to_numpy(zero_copy_only=False) for f in range(4))
     row, bit = _bits(again)
     start, at = np.unique(lo[row] + bit + words.first[doc[row]], return_index=True)
-    return start, hot[row[at]].astype(bool)
+    row = row[at]
+    if not len(start):
+        return start, bucket[:0], np.zeros(0, bool), row
+    place = np.minimum(np.searchsorted(start, start + length // 2), len(start) - 1)
+    chosen = np.flatnonzero((start[place] == start + length // 2) & (words.doc[start[place]] == words.doc[start]))
+    row = row[chosen]
+    return start[chosen], bucket[row], hot[row].astype(bool), row
 
 
 def _windows(half: int, length: int, names: Names):
     """Rows of candidates of this length: around spots if it is 2 * half words, else windows whose halves are both marked."""
 
-    def candidates(part: pa.RecordBatch, words: Words, at: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words at which they begin, their minimizers' words, whether these are hot."""
-        if length == 2 * half:
-            start, hot = _spots(part.column(names.spots), words)
-            place = np.minimum(np.searchsorted(start, low), len(start) - 1)
-            chosen = np.flatnonzero(start[place] == low) if len(start) else start
-            return at[chosen], low[chosen], hot[place[chosen]] if len(start) else hot
-        start, hot = _marked(part.column(names.marks), words)
-        if not len(start):
-            return start, start, hot
-        place = np.minimum(np.searchsorted(start, start + length // 2), len(start) - 1)
-        chosen = np.flatnonzero((start[place] == start + length // 2) & (words.doc[start[place]] == words.doc[start]))
-        return start[chosen], low[np.searchsorted(at, start[chosen])], hot[chosen]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_ones = _Hot()
         for batch in batches:
             for part in slices(batch, names.text):
                 words = Words.of(part.column(names.text))
-                if length > 2 * half:
+                sums = words.sums()
+                if length == 2 * half:
+                    at, bucket, hot, place = _around_spots(part, words, half, sums, names)
+                else:
                     yield _carried(part, names)
-                at, low, sums, h = minimizers(words, half)
-                if not len(at):
-                    continue
-                at, low, hot = candidates(part, words, at, low)
+                    at, bucket, hot, place = _with_both_halves(part, words, length, names)
                 if not len(at):
                     continue
                 value, doc = words.windows(at, length, sums), words.doc[at]
@@ -212,14 +214,14 @@ def _windows(half: int, length: int, names: Names):
                     hot_ones.add(value[hot], k[doc[hot]], th[doc[hot]], at[hot] - words.first[doc[hot]])
                     if hot_ones.n > BLOCK:
                         yield from hot_ones.flush()
-                    at, low, value, doc = at[~hot], low[~hot], value[~hot], doc[~hot]
+                    at, bucket, place, value, doc = at[~hot], bucket[~hot], place[~hot], value[~hot], doc[~hot]
                     if not len(at):
                         continue
-                begin = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-                counts = np.diff(np.append(begin, len(low)))
+                begin = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+                counts = np.diff(np.append(begin, len(place)))
                 mask = np.add.reduceat(np.int64(1) << (at - np.repeat(at[begin], counts)), begin)
                 doc, no = doc[begin], np.zeros(len(begin), bool)
-                yield from _parts([signed(h[low[begin]]), k[doc], th[doc], (at[begin] - words.first[doc]).astype(np.int32), mask, no, no], _lists(signed(value), counts, pa.int64()))
+                yield from _parts([bucket[begin], k[doc], th[doc], (at[begin] - words.first[doc]).astype(np.int32), mask, no, no], _lists(signed(value), counts, pa.int64()))
         yield from hot_ones.flush()
 
     return run
@@ -266,7 +268,7 @@ def _marks(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         again_bits[row[begin]] = np.add.reduceat(again.astype(np.int64) << bit, begin)
         dead_bits[row[begin]] = np.add.reduceat(dead.astype(np.int64) << bit, begin)
     left = np.flatnonzero((again_bits != 0) | (mask == 0))
-    return pa.RecordBatch.from_arrays([pa.array(c[left]) for c in (k, h, lo, hot.astype(bool), again_bits, dead_bits)], ["k", "h", *MARKS])
+    return pa.RecordBatch.from_arrays([pa.array(c[left]) for c in (k, h, bucket, lo, hot.astype(bool), again_bits, dead_bits)], ["k", "h", *MARKS])
 
 
 def _cut(full: int, columns: list[str], text: str, cuts: str, longest: str, whole: str, n_chars: str | None):
@@ -279,39 +281,39 @@ def _cut(full: int, columns: list[str], text: str, cuts: str, longest: str, whol
                 marks = marks.combine_chunks() if isinstance(marks, pa.ChunkedArray) else marks
                 twice = part.column(whole).to_numpy(zero_copy_only=False)
                 rows = np.flatnonzero(np.asarray(marks.is_valid()) | (twice > 0))
-                texts = part.column(text)
-                out, gone, most = None, [None] * part.num_rows, part.column(longest).to_pylist()
-                if len(rows):
-                    words = Words.of(texts)
-                    data = words.data.tobytes()
-                    for r in rows.tolist():
-                        n, first = int(words.counts[r]), int(words.first[r])
-                        if twice[r] and n >= full:
-                            most[r] = max(most[r] or 0, full << (n // full).bit_length() - 1)
-                        edges = [[0, n]] if twice[r] == 2 and n >= full else _spans(marks[r].as_py(), n, full)
-                        if not edges:
-                            continue
-                        out = texts.to_pylist() if out is None else out
-                        at, pieces = int(words.offsets[r]), []
-                        for a, b in edges:
-                            pieces.append(data[at : int(words.start[first + a])])
-                            at = int(words.start[first + b]) if b < n else int(words.offsets[r + 1])
-                        pieces.append(data[at : int(words.offsets[r + 1])])
-                        out[r] = b"".join(pieces).decode()
-                        if edges[-1][1] == n:
-                            out[r] = out[r].rstrip(" \t\n\r\x0b\x0c")
-                        gone[r] = [{"start": a, "end": b} for a, b in edges]
+                gone, most, cut, left = [None] * part.num_rows, part.column(longest).to_pylist(), [], []
+                words = Words.of(part.column(text).take(pa.array(rows)))
+                data = words.data.tobytes()
+                for i, r in enumerate(rows.tolist()):
+                    n, first = int(words.counts[i]), int(words.first[i])
+                    if twice[r] and n >= full:
+                        most[r] = max(most[r] or 0, full << (n // full).bit_length() - 1)
+                    edges = [[0, n]] if twice[r] == 2 and n >= full else _spans(marks[r].as_py(), n, full)
+                    if not edges:
+                        continue
+                    at, pieces = int(words.offsets[i]), []
+                    for a, b in edges:
+                        pieces.append(data[at : int(words.start[first + a])])
+                        at = int(words.start[first + b]) if b < n else int(words.offsets[i + 1])
+                    pieces.append(data[at : int(words.offsets[i + 1])])
+                    cut.append(r)
+                    left.append(b"".join(pieces).decode())
+                    if edges[-1][1] == n:
+                        left[-1] = left[-1].rstrip(" \t\n\r\x0b\x0c")
+                    gone[r] = [{"start": a, "end": b} for a, b in edges]
+                which = np.zeros(part.num_rows, bool)
+                which[cut] = True
                 arrays = []
                 for name in columns:
                     c = part.column(name)
-                    if name == text and out is not None:
-                        c = pa.array(out, c.type)
+                    if name == text and cut:
+                        c = pa.compute.replace_with_mask(c, pa.array(which), pa.array(left, c.type))
                     elif name == cuts:
                         c = pa.array(gone, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
                     elif name == longest:
                         c = pa.array(most, pa.int32())
-                    elif name == n_chars and out is not None:
-                        c = pa.array([len(out[i]) if gone[i] else v for i, v in enumerate(c.to_pylist())], c.type)
+                    elif name == n_chars and cut:
+                        c = pa.compute.replace_with_mask(c, pa.array(which), pa.array(map(len, left), c.type))
                     arrays.append(c)
                 yield pa.RecordBatch.from_arrays(arrays, columns)
 
@@ -352,8 +354,8 @@ def repeats(docs: DataFrame, names: Names, min_words: int, report: bool, hot: in
     repeated = written(counted.where("a != b").select("anchor", (F.col("n") > hot).cast("int").alias("hot"), "far"), "sd-minimizers")
     spots = anchors.join(repeated.select("anchor", "hot"), "anchor").groupBy(h).agg(F.collect_set(F.col("at").cast("long") * 2 + F.col("hot")).alias(names.spots))
 
-    ids = docs.select(k, h, names.hash2)
-    heads = ids.groupBy(h, names.hash2).agg(F.min(k).alias("head"), F.max(k).alias("last"))
+    ids = docs.select(k, h, F.xxhash64(F.coalesce(names.text, F.lit("")), F.lit(1)).alias("more"))
+    heads = ids.groupBy(h, "more").agg(F.min(k).alias("head"), F.max(k).alias("last"))
     found = docs.join(heads.select(h, F.col("head").alias(k)).join(spots, h), [k, h])
     first = last = _level(found, half, min_words, names)
     if report:
@@ -363,7 +365,7 @@ def repeats(docs: DataFrame, names: Names, min_words: int, report: bool, hot: in
             found = docs.join(last, [k, h]).withColumn(names.text, F.when(F.size(names.marks) > 0, F.col(names.text)))
             last = _level(found, half, length, names)
             length *= 2
-    copies = ids.join(heads.where("head != last"), [h, names.hash2]).select(k, h, F.when(F.col(k) == F.col("head"), 1).otherwise(2).alias(names.whole))
+    copies = ids.join(heads.where("head != last"), [h, "more"]).select(k, h, F.when(F.col(k) == F.col("head"), 1).otherwise(2).alias(names.whole))
     parts = [first.select(k, h, names.marks, names.level), copies]
     out, *rest = [*parts, last.select(k, h, names.level)] if report else parts
     for more in rest:
@@ -382,8 +384,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = Names(docs)
     text = F.col(f"`{text_col}`")
     known = F.coalesce(text, F.lit(""))
-    keyed = docs.withColumns({names.key: key(docs, id_col), names.hash: F.xxhash64(known), names.hash2: F.xxhash64(known, F.lit(1)), names.text: text})
-    keyed = keyed.select(names.key, names.hash, names.hash2, names.text, *[f"`{c}`" for c in columns if c != text_col])
+    # Both joins with documents take all of these columns, so that Spark shuffles them once.
+    keyed = docs.withColumns({names.key: key(docs, id_col), names.hash: F.xxhash64(known), names.text: text})
+    keyed = keyed.select(names.key, names.hash, names.text, *[f"`{c}`" for c in columns if c != text_col])
     found = repeats(keyed, names, min_words, report, hot)
     cuts, longest = free(docs, "cuts"), free(docs, "longest_repeat")
     own = [F.col(names.text).alias(text_col) if c == text_col else F.col(f"`{c}`") for c in columns]
