@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import drop, written
-from .textcore import Words, mix, signed, slices
+from .textcore import Words, mix, shingles, signed, slices
 
 NO_ID = -(2**63)
 K, H, TEXT = "_mh_key", "_mh_hash", "_mh_text"
@@ -48,16 +48,6 @@ def accept(threshold: float = THRESHOLD) -> float:
     return threshold - 2 * (share * (1 - share) / PERMUTATIONS) ** 0.5 / (1 - 2.0**-BITS)
 
 
-def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles in order of text, and n + 1 offsets. A shorter text is one shingle."""
-    counts = words.counts
-    each = np.where(counts > 0, np.maximum(counts - size + 1, 1), 0)
-    offsets = np.concatenate(([0], np.cumsum(each)))
-    doc = np.repeat(np.arange(words.n), each)
-    at = words.first[doc] + np.arange(offsets[-1]) - offsets[doc]
-    return words.windows(at, np.minimum(size, counts[doc]), words.sums()), offsets
-
-
 def minima(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """PERMUTATIONS x texts; texts without shingles have the largest value."""
     n = len(offsets) - 1
@@ -108,7 +98,7 @@ SIGS = [f"s{i}" for i in range(LONGS)]
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, TEXT):
-            hashes, offsets = shingles(Words.of(part.column(TEXT)))
+            hashes, offsets = shingles(Words.of(part.column(TEXT)), SHINGLE)
             low = minima(hashes, offsets)
             keys = np.ascontiguousarray(bands(low).T)
             some = np.diff(offsets) > 0

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textcore import WHITE, Words, flat, mix, slices
+from .columns import integer
+from .textcore import WHITE, Words, flat, mix, shingles, slices
 
 #: Every share is of words but for symbols, capitals and digits (of characters, of ASCII letters, of characters) and lines.
 NAMES = ("n_words", "word_chars", "symbols", "capitals", "digits", "bare_words", "stop_words", "same_as_last", "repeated_grams", "repeated_lines")
@@ -54,11 +55,25 @@ def _repeats(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.bincount((own[1:][again] >> np.uint64(44)).astype(np.int64), minlength=n).astype(float)
 
 
+def families(words: Words) -> np.ndarray:
+    """The least hash of a text's runs of GRAM words, which copies share and near copies mostly do; 0 without words."""
+    hashes, offsets = shingles(words, GRAM)
+    out = np.zeros(words.n, np.uint64)
+    some = np.flatnonzero(np.diff(offsets))
+    if len(some):
+        out[some] = np.minimum.reduceat(hashes, offsets[some])
+    return out.view(np.int64)
+
+
 def measure(texts: pa.Array) -> np.ndarray:
     """Texts x NAMES; a null or empty text is all 0."""
     data, offsets = flat(texts)
-    n = len(offsets) - 1
-    words = Words(data, offsets, fold=True)
+    return measures(Words(data, offsets, fold=True))
+
+
+def measures(words: Words) -> np.ndarray:
+    """measure() of texts whose words are folded."""
+    data, offsets, n = words.data, words.offsets, words.n
     if not _stops:
         _stops.append(_stop_hashes())
     count = words.counts.astype(float)
@@ -84,14 +99,15 @@ def measure(texts: pa.Array) -> np.ndarray:
 
 
 def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns of keep as strings k0, k1 ..., and NAMES, for each row."""
+    """doc_id, family, the columns of keep as strings k0, k1 ..., and NAMES, for each row."""
     kept = [f"k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                x = measure(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(part.column(k) for k in kept), *(pa.array(np.ascontiguousarray(c)) for c in x.T)], ["doc_id", *kept, *NAMES])
+                words = Words.of(part.column("text"), fold=True)
+                x = measures(words)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(families(words)), *(part.column(k) for k in kept), *(pa.array(np.ascontiguousarray(c)) for c in x.T)], ["doc_id", "family", *kept, *NAMES])
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").cast("string").alias(k) for c, k in zip(keep, kept)])
-    return rows.mapInArrow(run, "doc_id long, " + "".join(f"{k} string, " for k in kept) + ", ".join(f"{c} double" for c in NAMES))
+    rows = docs.select(integer(docs, id_col).alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").cast("string").alias(k) for c, k in zip(keep, kept)])
+    return rows.mapInArrow(run, "doc_id long, family long, " + "".join(f"{k} string, " for k in kept) + ", ".join(f"{c} double" for c in NAMES))

@@ -3,7 +3,8 @@
 A *word* is a maximal run of bytes other than ASCII white space, so every
 position is a byte offset into UTF-8 text and no text is ever decoded or cut
 short. Null texts count as empty. Work is sliced by bytes, never by dropping
-rows; a single text longer than a slice forms a slice of its own.
+rows; a single text longer than a slice forms a slice of its own, of which words
+are made block by block.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 500_000
+#: Bytes that are looked at together in making words; a longer text takes no more memory but for its words.
+BLOCK_BYTES = 1_000_000
 
 _rng = np.random.default_rng(20240611)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -90,28 +93,56 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     release()
 
 
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool) -> np.ndarray:
+    """Hashes of words. Only a word of its own may be longer than BLOCK_BYTES, and is hashed piece by piece."""
+    if len(data) > BLOCK_BYTES:
+        total, power = 0, 1
+        step = pow(_BASE, BLOCK_BYTES, 2**64)
+        for lo in range(0, len(data), BLOCK_BYTES):
+            total += power * int(_sums(data[lo : lo + BLOCK_BYTES], fold)[-1])
+            power = power * step % 2**64
+        return mix(np.array([total % 2**64], np.uint64))
+    sums = _sums(data, fold)
+    return mix((sums[end] - sums[start]) * _pow(_BASE, len(data) + 1)[1][start])
+
+
+def _sums(data: np.ndarray, fold: bool) -> np.ndarray:
+    """Sums of the bytes up to each place, as a polynomial."""
+    if fold:  # ASCII case only
+        data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _pow(_BASE, len(data) + 1)[0][: len(data)], out=out[1:])
+    return out
+
+
 class Words:
     """Words of a run of texts: byte starts and ends, text index, 64-bit hashes."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, fold: bool = False, white: np.ndarray = WHITE):
         self.data, self.offsets, self.n = data, offsets, len(offsets) - 1
-        solid = np.zeros(len(data) + 2, dtype=bool)
-        solid[1:-1] = ~white[data]
-        inner = np.zeros(len(data) + 1, dtype=bool)
-        inner[offsets] = True
-        begin = solid[1:-1] & (~solid[:-2] | inner[:-1])
-        end = solid[1:-1] & (~solid[2:] | inner[1:])
-        self.start = np.flatnonzero(begin)
-        self.end = np.flatnonzero(end) + 1
-        self.doc = np.searchsorted(offsets, self.start, side="right") - 1
+        kind = np.int32 if len(data) < 2**31 else np.int64
+        starts, ends = [np.zeros(0, kind)], [np.zeros(0, kind)]
+        inner = np.unique(offsets)  # a word ends where its text does
+        for lo in range(0, len(data), BLOCK_BYTES):
+            hi = min(lo + BLOCK_BYTES, len(data))
+            solid = np.zeros(hi - lo + 2, dtype=bool)
+            a, b = max(lo - 1, 0), min(hi + 1, len(data))
+            solid[a - lo + 1 : b - lo + 1] = ~white[data[a:b]]
+            cut = np.zeros(hi - lo + 1, dtype=bool)
+            cut[inner[np.searchsorted(inner, lo) : np.searchsorted(inner, hi, side="right")] - lo] = True
+            starts.append((np.flatnonzero(solid[1:-1] & (~solid[:-2] | cut[:-1])) + lo).astype(kind))
+            ends.append((np.flatnonzero(solid[1:-1] & (~solid[2:] | cut[1:])) + lo + 1).astype(kind))
+        self.start, self.end = np.concatenate(starts), np.concatenate(ends)
         #: First word of each text, n + 1 values.
         self.first = np.searchsorted(self.start, offsets)
-        if fold:  # ASCII case only
-            data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
-        up, down = _pow(_BASE, len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self.doc = np.repeat(np.arange(self.n), np.diff(self.first))
+        self.hash = np.empty(len(self.start), np.uint64)
+        i = 0
+        while i < len(self.start):
+            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + BLOCK_BYTES, side="right")))
+            at = int(self.start[i])
+            self.hash[i:j] = _hashes(data[at : int(self.end[j - 1])], self.start[i:j] - at, self.end[i:j] - at, fold)
+            i = j
 
     @classmethod
     def of(cls, texts: pa.Array, fold: bool = False) -> Words:
@@ -141,5 +172,15 @@ class Words:
         return at[at <= last[self.doc[: len(at)]]]
 
 
+def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles in order of text, and n + 1 offsets. A shorter text is one shingle."""
+    counts = words.counts
+    each = np.where(counts > 0, np.maximum(counts - size + 1, 1), 0)
+    offsets = np.concatenate(([0], np.cumsum(each)))
+    doc = np.repeat(np.arange(words.n), each)
+    at = words.first[doc] + np.arange(offsets[-1]) - offsets[doc]
+    return words.windows(at, np.minimum(size, counts[doc]), words.sums()), offsets
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
