@@ -19,7 +19,7 @@ until no step of a pass gains STOP, without a bound on passes.
 
 Defined results: null and empty texts are rejected as soon as there is a model.
 Without positives, or without documents, there is no model and every document
-stays with a null posterior. Repeated rows are scored alike; a document with
+stays with a null posterior. doc_ids are integers (ValueError otherwise); a null one has no label. Repeated rows are scored alike; a document with
 several labels is positive only if all are. Extra columns pass through (filter)
 or are ignored (score).
 """
@@ -27,17 +27,18 @@ or are ignored (score).
 from __future__ import annotations
 
 import json
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import integer
 from .sample import lowest
-from .scratch import written
+from .scratch import drop, written
 from .style import NAMES, measure, table
+from .sums import total
 from .textcore import slices
 
 MAX_POSITIVES = 20_000
@@ -178,24 +179,13 @@ def _with_scores(measured: DataFrame, model: dict) -> DataFrame:
 
 
 def _sum(measured: DataFrame, value: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum over all rows of value(texts x NAMES), which adds them up and has the same shape for any rows; exact but for what a task adds up itself."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for b in batches:
-            if b.num_rows:
-                x = value(np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1))
-                total = x if total is None else total + x
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([list(total.shape)], pa.list_(pa.int32())), pa.array([total.ravel()], pa.list_(pa.float64()))], ["shape", "x"])
-
-    rows = measured.select(*NAMES).mapInArrow(run, "shape array<int>, x array<double>").collect()
-    return np.array([math.fsum(x) for x in zip(*(r.x for r in rows))]).reshape(rows[0]["shape"])
+    """Sum over all rows of value(texts x NAMES), which adds them up and has the same shape for any rows."""
+    return total(measured.select(*NAMES), lambda b: value(np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns], axis=1)))
 
 
 def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> dict | None:
     """The model: center, scale, weights, prior; None without positives. measured is style.table()."""
-    good = labels.groupBy(F.col(f"`{id_col}`").cast("long").alias("doc_id")).agg(F.min(F.col(f"`{label_col}`")).alias("good")).where("good = 1").select("doc_id")
+    good = labels.groupBy(integer(labels, id_col).alias("doc_id")).agg(F.min(F.col(f"`{label_col}`")).alias("good")).where("good = 1").select("doc_id")
     trusted = written(measured.join(good, "doc_id").select("doc_id", *NAMES), "pu-trusted")
     p = _inputs(lowest(trusted, MAX_POSITIVES, trusted.count(), F.xxhash64("doc_id", F.lit("pu")), *NAMES))
     n = measured.count()
@@ -211,11 +201,12 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     hists = [np.array([h.get(b, 0) for b in range(BINS)], float) for h in (at(trusted), at(measured))]
     model["prior"] = estimate_prior(*hists)
     model["weights"] = fit_nnpu(zp, all_rows, model["prior"]).tolist()
+    drop(trusted)
     return json.loads(json.dumps(model))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, posterior, keep) of each row; posterior is the model's P(positive)."""
+    """(doc_id, posterior, keep) of each row; posterior is the sigmoid of its score, which is 0.5 at the boundary and not calibrated beyond that."""
     measured = written(table(docs, id_col, text_col), "pu-measured")
     model = fit(measured, labels)
     if model is None:
@@ -227,6 +218,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """docs without the documents that the classifier rejects. Texts are read once to measure and once to decide, and never shuffled."""
     measured = written(table(docs, id_col, text_col), "pu-measured")
     model = fit(measured, labels)
+    drop(measured)
     if model is None:
         return docs
 
