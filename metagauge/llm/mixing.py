@@ -8,7 +8,8 @@
    weight * all tokens. Projected gradient steps start from r = 1; a step's
    direction depends on a document through its posterior alone, so iterates
    aren't stored: a pass over (tokens, posterior) rows replays the steps so far
-   and adds up the domains' totals.
+   and adds up the domains' totals. Steps go on until the targets are met or, where
+   no rates meet them, until passes gain next to nothing; ``gap`` is what is left.
 3. A document occurs floor(r) times, and once more with probability r - floor(r)
    by a hash of its doc_id.
 
@@ -20,7 +21,8 @@ Defined results: null and empty texts have no tokens and the model's prior as
 posterior. Target domains without labelled documents are left out and the other
 weights scaled up; with none left, all rates are 1. Weights of 0 are allowed,
 negative ones are not. Repeated rows have equal rates. Labelled rows with a
-null domain or one without a target are not used. Extra columns pass through.
+null domain or one without a target are not used. doc_ids are integers (ValueError
+otherwise); null ones have the luck of 0. Extra columns pass through.
 """
 
 from __future__ import annotations
@@ -32,13 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import free, integer
 from .sample import lowest
-from .scratch import written
+from .scratch import drop, written
+from .sums import total
 from .textcore import Words, slices
 
 MAX_LABELLED = 4_000
 BUCKET_BITS = 14
-MAX_STEPS, TOLERANCE = 200, 1e-5
+TOLERANCE, STILL, RIDGE = 1e-5, 1e-3, 1e-6
+#: Lengths of steps that a pass tries.
+LENGTHS = (0.125, 0.5, 1, 2, 8, 64)
 
 
 def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,37 +108,49 @@ def replay(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
 
 def _sum(measured: DataFrame, classes: int, value) -> np.ndarray:
     """Sum over rows of value(tokens, posteriors), an array of equal shape in every batch."""
+    return total(measured.select("n_tokens", "p"), lambda b: value(b.column("n_tokens").to_numpy().astype(float), b.column("p").flatten().to_numpy().reshape(b.num_rows, classes)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for b in batches:
-            if b.num_rows:
-                x = value(b.column("n_tokens").to_numpy().astype(float), b.column("p").flatten().to_numpy().reshape(b.num_rows, classes)).ravel()
-                total = x if total is None else total + x
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["i", "x"])
 
-    rows = measured.select("n_tokens", "p").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-    return np.array([r.x for r in sorted(rows)])
+def fit_rates(measured: DataFrame, weights: np.ndarray, tolerance: float = TOLERANCE) -> tuple[list[np.ndarray], np.ndarray]:
+    """The steps that replay() takes, and the domains' expected shares of all tokens after them.
 
-
-def fit_rates(measured: DataFrame, weights: np.ndarray, tolerance: float = TOLERANCE, most: int = MAX_STEPS) -> list[np.ndarray]:
-    """The steps that replay() takes. measured has n_tokens and p, a list of as many doubles as weights."""
+    measured has n_tokens and p, a list of as many doubles as weights. Each pass tries projected gradient steps of several
+    lengths, scaled by the curvature of all rates and by that of those that aren't 0, and takes the one after which the least
+    squares are least. Passes end when every share is within tolerance of its weight, or when none lessens the
+    squares by more than a share STILL of what they are: then targets are beyond reach, or all but reached.
+    """
     k = len(weights)
     first = _sum(measured, k, lambda n, p: np.concatenate([[n.sum()], n @ p, np.einsum("d,di,dj->ij", n, p, p).ravel()]))
-    if not len(first) or first[0] == 0:
-        return []
     tokens, now, gram = first[0], first[1 : 1 + k], first[1 + k :].reshape(k, k)
+    if tokens == 0:
+        return [], np.zeros(k)
     target = tokens * weights
-    scale = np.maximum(np.diag(gram), 1e-9 * tokens)
-    # Gradient steps in the metric of tokens, on residuals scaled by each domain's own curvature.
-    rate = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale)))[-1]
+    ridge = RIDGE * np.trace(gram) / k * np.eye(k)
+    # Squares of residuals are weighed by the curvature where all rates are free, so that a step of length 1 meets targets if it clips no rate.
+    inverse = np.linalg.inv(gram + ridge)
+    free_inverse = inverse
+    cost = lambda x: float((x - target) @ inverse @ (x - target))
     steps: list[np.ndarray] = []
-    while len(steps) < most and np.abs(now - target).max() > tolerance * tokens:
-        steps.append(rate * (now - target) / scale)
+    while np.abs(now - target).max() > tolerance * tokens:
+        tried = [a * (m @ (now - target)) for m in (inverse, free_inverse) for a in LENGTHS]
         so_far = list(steps)
-        now = _sum(measured, k, lambda n, p: (n * replay(p, so_far)) @ p)
-    return steps
+
+        def sums(n, p, so_far=so_far, tried=tried):
+            r, out = replay(p, so_far), []
+            for u in tried:
+                x = n * np.maximum(0, r - p @ u)
+                free = p * (n * (x > 0))[:, None]
+                out.append(np.concatenate([x @ p, (free.T @ p).ravel()]))
+            return np.array(out)
+
+        got = _sum(measured, k, sums)
+        costs = [cost(x[:k]) for x in got]
+        i = int(np.argmin(costs))
+        if costs[i] >= (1 - STILL) * cost(now):
+            break
+        steps, now = [*steps, tried[i]], got[i, :k]
+        free_inverse = np.linalg.inv(got[i, k:].reshape(k, k) + ridge)
+    return steps, now / tokens
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,18 +170,19 @@ class Mix:
         self.id_col, self.text_col = id_col, text_col
         # Documents are chosen by a hash before any text is looked at.
         key = F.xxhash64("doc_id", F.lit("mix"))
-        names = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain")).where(F.col("domain").isin(*sorted(targets)) if targets else F.lit(False))
-        known = labels.select(F.col("`doc_id`").cast("long").alias("doc_id"))
+        own = integer(docs, id_col).alias("doc_id")
+        names = docs.select(own, F.col(f"`{domain_col}`").cast("string").alias("domain")).where(F.col("domain").isin(*sorted(targets)) if targets else F.lit(False))
+        known = labels.select(integer(labels, "doc_id").alias("doc_id"))
         chosen = lowest(names.join(known.distinct(), "doc_id", "left_semi").distinct(), max_labelled, known.count(), key, "doc_id", "domain")
         chosen = docs.sparkSession.createDataFrame(chosen, "doc_id long, domain string")  # at most max_labelled rows of two values
-        rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{domain_col}`").cast("string").alias("domain"), F.col(f"`{text_col}`").cast("string").alias("text"))
+        rows = docs.select(own, F.col(f"`{domain_col}`").cast("string").alias("domain"), F.col(f"`{text_col}`").cast("string").alias("text"))
         # Executors hash the words; the driver gets no text.
         rows = rows.join(F.broadcast(chosen), ["doc_id", "domain"], "left_semi").mapInArrow(_hashed, "doc_id long, domain string, buckets array<int>, shares array<double>").toArrow().combine_chunks()
         found = rows.column("domain").to_pylist()
         self.domains = sorted(set(found))
         weights = np.array([targets[d] for d in self.domains])
         self.weights = weights / weights.sum() if weights.sum() > 0 else weights
-        self.w, self.steps, self.measured = np.zeros((1, 0)), [], None
+        self.w, self.steps, self.measured, self.gap = np.zeros((1, 0)), [], None, None
         if not len(weights) or weights.sum() <= 0:
             self.domains = []
             return
@@ -180,18 +199,20 @@ class Mix:
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n.astype(np.int64)), lists], ["doc_id", "n_tokens", "p"])
 
-        rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+        rows = docs.select(own, F.col(f"`{text_col}`").cast("string").alias("text"))
         self.measured = written(rows.mapInArrow(run, "doc_id long, n_tokens long, p array<double>"), "mix-measured")
-        self.steps = fit_rates(self.measured, self.weights)
+        self.steps, shares = fit_rates(self.measured, self.weights)
+        #: The largest difference of a domain's expected share of tokens from its weight.
+        self.gap = float(np.abs(shares - self.weights).max())
 
     def _copies(self, rate, doc_id):
         luck = F.pmod(F.xxhash64(F.coalesce(doc_id.cast("long"), F.lit(0)), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
         return (F.floor(rate) + F.when(luck < rate - F.floor(rate), 1).otherwise(0)).cast("int")
 
     def rates(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, n_tokens, domains, p, rate, copies) of each row."""
+        """(doc_id, n_tokens, domains, p, rate, copies, gap) of each row."""
         if not self.domains:
-            return docs.select(F.col(f"`{self.id_col}`").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), F.array().cast("array<string>").alias("domains"), F.array().cast("array<double>").alias("p"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies"))
+            return docs.select(integer(docs, self.id_col).alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), F.array().cast("array<string>").alias("domains"), F.array().cast("array<double>").alias("p"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies"), F.lit(None).cast("double").alias("gap"))
         steps, k = self.steps, len(self.domains)
 
         @F.arrow_udf("double")
@@ -199,7 +220,7 @@ class Mix:
             return pa.array(replay(p.flatten().to_numpy().reshape(len(p), k), steps))
 
         rows = self.measured.withColumn("rate", rate("p"))
-        return rows.select("doc_id", "n_tokens", F.array(*map(F.lit, self.domains)).alias("domains"), "p", "rate", self._copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+        return rows.select("doc_id", "n_tokens", F.array(*map(F.lit, self.domains)).alias("domains"), "p", "rate", self._copies(F.col("rate"), F.col("doc_id")).alias("copies"), F.lit(self.gap).alias("gap"))
 
     def mixed(self, docs: DataFrame) -> DataFrame:
         """docs, each row as often as its rate says. Texts are scored where they are read, and never shuffled."""
@@ -212,6 +233,12 @@ class Mix:
             out = [replay(posteriors(part.column("t"), w)[1], steps) for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), "t")]
             return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-        rows = docs.withColumn("_mix_rate", rate(F.col(f"`{self.text_col}`").cast("string")))
-        rows = rows.withColumn("_mix_copies", self._copies(F.col("_mix_rate"), F.col(f"`{self.id_col}`"))).where("_mix_copies > 0")
-        return rows.withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[f"`{c}`" for c in docs.columns])
+        r, c, n = (free(docs, f"_mix_{x}") for x in ("rate", "copies", "n"))
+        rows = docs.withColumn(r, rate(F.col(f"`{self.text_col}`").cast("string")))
+        rows = rows.withColumn(c, self._copies(F.col(r), F.col(f"`{self.id_col}`"))).where(F.col(c) > 0)
+        return rows.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*[f"`{x}`" for x in docs.columns])
+
+    def drop(self) -> None:
+        """Deletes the table that rates() reads; mixed() doesn't need it."""
+        if self.measured is not None:
+            drop(self.measured)

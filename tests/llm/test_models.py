@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from metagauge.llm import mixing, pu, rules, style
+from metagauge.llm import mixing, pu, rules, style, textcore
 from metagauge.llm.sample import lowest
 
 
@@ -57,20 +57,80 @@ def graded(spark):
     return docs, labels
 
 
-def test_rules_keep_good_and_are_counted_exactly(graded):
+def ladder_of(rows: list, sign: dict) -> list[list]:
+    """Cutoffs that proposing rows give, by sorting."""
+    good, bad = ([r for r in rows if r["good"] == g] for g in (1, 0))
+    out = []
+    for r, up in sign.items():
+        k = 1 if up else -1
+        v = sorted(k * x[r] for x in good)
+        beyond = sorted(k * x[r] for x in bad if k * x[r] > v[-1])
+        middle = beyond[(len(beyond) - 1) // 2] if beyond else None
+        gaps = [None if middle is None else k * (v[-1] + g * (middle - v[-1])) for g in rules.GAPS]
+        out.append(gaps + [k * v[max(0, int(np.ceil((1 - q) * len(v) - 1e-9)) - 1)] for q in rules.RUNGS])
+    rungs = [list(x) for x in zip(*out)]
+    return [x for i, x in enumerate(rungs) if any(c is not None for c in x) and (i == 0 or x != rungs[i - 1])]
+
+
+def broken(x, cuts) -> bool:
+    return any(c is not None and (x[r] > c if up else x[r] < c) for (r, up), c in zip(rules.RULES.items(), cuts))
+
+
+def test_cutoffs_equal_brute_force(spark, graded):
+    """Proposals, tests and decisions recomputed from all labelled rows in Python."""
+    docs, labels = graded
+    copies = docs.where("doc_id % 4 = 1 and doc_id < 400").select((F.col("doc_id") + 10**6).alias("doc_id"), "text", "lang")
+    docs = docs.union(copies)
+    labels = labels.union(copies.select("doc_id", F.lit(1)))
+    fitted = rules.fit(style.table(docs, keep=("lang",)), labels)
+    good = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [r.asDict() | {"good": good[r.doc_id]} for r in style.table(docs, keep=("lang",)).withColumn("part", F.pmod(F.xxhash64("family", F.lit("rules")), F.lit(rules.PARTS))).collect() if r.doc_id in good]
+    by_text = {r.doc_id: r.text for r in docs.collect()}
+    parts = {}
+    for r in rows:  # copies fall to one part
+        assert parts.setdefault(by_text[r["doc_id"]], r["part"]) == r["part"]
+    ps, tests = [], []
+    for s in sorted(fitted):
+        ladder = ladder_of([r for r in rows if r["k0"] == s and r["part"] == 0], rules.RULES)
+        first = {}
+        for r in sorted((r for r in rows if r["k0"] == s and r["part"] and r["good"] == 1), key=lambda r: r["doc_id"]):
+            first.setdefault(r["family"], r)
+        counts = [sum(broken(r, cuts) for r in first.values()) for cuts in ladder]
+        ps.append([sum(comb(len(first), i) * rules.ALPHA**i * (1 - rules.ALPHA) ** (len(first) - i) for i in range(k + 1)) for k in counts])
+        tests.append((ladder, counts, len(first)))
+    passed, _ = rules.graph(ps, rules.DELTA)
+    for s, n, (ladder, counts, families) in zip(sorted(fitted), passed, tests):
+        x = fitted[s]
+        assert n > 0 and (x["rung"], x["n"], x["rejected"]) == (n, families, counts[n - 1]) and x["bound"] <= rules.ALPHA + 1e-9
+        assert [c is None for c in x["cuts"]] == [c is None for c in ladder[n - 1]] and [c for c in x["cuts"] if c is not None] == pytest.approx([c for c in ladder[n - 1] if c is not None])
+    measured = {(r.doc_id, r.k0): r.asDict() for r in style.table(docs, keep=("lang",)).collect()}
+    for r in rules.decide(docs, labels).collect():
+        x = measured[r.doc_id, r.stratum]
+        assert r.failed == [name for (name, up), c in zip(rules.RULES.items(), fitted[r.stratum]["cuts"]) if c is not None and (x[name] > c if up else x[name] < c)] and r.keep == (not r.failed)
+
+
+def test_rules_keep_good_and_reject_bad(graded):
     docs, labels = graded
-    measured = style.table(docs, keep=("lang",))
-    fitted = rules.fit(measured, labels)
     out = {r.doc_id: r for r in rules.decide(docs, labels).collect()}
-    good = {r.doc_id for r in labels.where("quality = 1").collect()}
-    half = {r.doc_id for r in docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).select("doc_id").collect()}
-    for lang, x in fitted.items():
-        mine = [r for d, r in out.items() if r.stratum == lang and d in good and d in half]
-        assert (x["n"], x["rejected"]) == (len(mine), sum(not r.keep for r in mine)) and x["rung"] > 0 and x["bound"] <= rules.ALPHA + 1e-9
-    truly = [r.keep for d, r in out.items() if d % 4]
-    assert np.mean(truly) > 1 - rules.ALPHA
+    assert np.mean([r.keep for d, r in out.items() if d % 4]) > 1 - rules.ALPHA
     assert np.mean([not r.keep for d, r in out.items() if d % 4 == 0]) > 0.9
-    assert all(r.keep == (not r.failed) for r in out.values())
+
+
+def test_levels_are_handed_on():
+    """Sums of levels, Holm's gain over fixed shares, and the error over draws in which some hypotheses are true."""
+    assert rules.graph([[0.001], [0.03]], 0.05)[0] == [1, 1]  # 0.03 is over 0.025 but not over all of 0.05
+    assert rules.graph([[0.001], [0.06]], 0.05)[0] == [1, 0]
+    assert rules.graph([[0.03, 0.0]], 0.05)[0] == [2] and rules.graph([[0.06, 0.0]], 0.05)[0] == [0]
+    assert rules.graph([[], [0.01]], 0.05)[0] == [0, 1] and rules.graph([], 0.05) == ([], [])
+    passed, level = rules.graph([[0.0, 0.0, 1.0], [0.02, 1.0], [1.0]], 0.06)
+    assert passed == [2, 1, 0] and level[1] >= 0.02
+    rng = np.random.default_rng(6)
+    wrong = 0
+    for _ in range(2000):  # rungs after the first two are true nulls, and so is all of the last stratum
+        p = [[*(rng.random(2) * 1e-4), *rng.random(3)] for _ in range(4)] + [list(rng.random(3))]
+        passed, _ = rules.graph(p, 0.05)
+        wrong += any(n > 2 for n in passed[:4]) or passed[4] > 0
+    assert wrong <= 2000 * 0.05 + 3 * (2000 * 0.05 * 0.95) ** 0.5
 
 
 def test_rules_awkward(awkward, labels):
@@ -78,6 +138,43 @@ def test_rules_awkward(awkward, labels):
     assert len(rows) == awkward.count() and all(r.keep and r.bound is None for r in rows)
     assert rules.decide(awkward.limit(0), labels).count() == 0
     assert all(r.keep for r in rules.decide(awkward, labels.limit(0)).collect())
+    with pytest.raises(ValueError, match="ids are integers"):
+        rules.decide(awkward.withColumn("doc_id", F.concat(F.lit("a"), F.col("doc_id").cast("string"))), labels)
+
+
+def plain_measures(t: str | None) -> list[float]:
+    """All of style.NAMES, character by character."""
+    t = t or ""
+    white = " \t\n\r\x0b\x0c"
+    words = [w for w in "".join(" " if c in white else c.lower() if c.isascii() else c for c in t).split(" ") if w]
+    raw = [w for w in "".join(" " if c in white else c for c in t).split(" ") if w]
+    n, some = len(words), max(1, len(words))
+    solid = max(1, sum(c not in white for c in t))
+    ascii_letters = [c for c in t if c.isascii() and c.isalpha()]
+    grams = [tuple(words[i : i + 5]) for i in range(n - 4)]
+    lines = [x for x in t.lower().replace("\r", "\n").split("\n") if x]
+    return [
+        n, sum(map(len, raw)) / n if n else 0, sum(c in "!#$%&*+/<=>@[\\]^_`{|}~" for c in t) / solid, sum(c.isupper() for c in ascii_letters) / max(1, len(ascii_letters)), sum(c in "0123456789" for c in t) / solid,
+        sum(not any(c.isalpha() or not c.isascii() for c in w) for w in raw) / some, sum(w in style._STOP for w in words) / some, sum(a == b for a, b in zip(words, words[1:])) / some,
+        (len(grams) - len(set(grams))) / max(1, n - 4), (len(lines) - len(set(lines))) / max(1, len(lines)),
+    ]
+
+
+def test_all_measures_equal_python(awkward, docs):
+    texts = [r.text for r in awkward.select("text").collect()] + [r.text for r in docs.select("text").collect()] + ["A b\r\nA b\n\n12 $$ é FÜR für", "x" * 3_000_000, "ab " * 1_000_001]
+    assert style.measure(pa.array(texts)).tolist() == [pytest.approx(plain_measures(t)) for t in texts]
+
+
+def test_long_words_and_texts_hash_alike(monkeypatch):
+    """However texts are cut into blocks."""
+    texts = pa.array(["abc defg  " * 50 + "z" * 500 + " abc", "", None, "z" * 500, "A" + "z" * 499, " q"])
+    want = [textcore.Words.of(texts, fold=f) for f in (False, True)]
+    for size in (1, 7, 100):
+        monkeypatch.setattr(textcore, "BLOCK_BYTES", size)
+        for w, f in zip(want, (False, True)):
+            got = textcore.Words.of(texts, fold=f)
+            assert all((getattr(got, x) == getattr(w, x)).all() for x in ("start", "end", "first", "doc", "hash"))
+    assert want[0].hash[-2] != want[0].hash[-3] == want[0].hash[100] and len(want[0].hash) == 105
 
 
 def test_measures_equal_python(awkward):
@@ -148,6 +245,31 @@ def test_model_is_of_all_documents(spark):
     assert ((t >= 0) == good).mean() > 0.97
 
 
+def test_risk_equals_brute_force():
+    """No weights that plain gradient descent finds from many starts have a lower non-negative risk."""
+    rng = np.random.default_rng(12)
+    p = np.concatenate([rng.normal(1, 1, (400, 2)), np.ones((400, 1))], axis=1)
+    u = np.concatenate([np.concatenate([rng.normal(1, 1, (500, 2)), rng.normal(-1.5, 1, (500, 2))]), np.ones((1000, 1))], axis=1)
+    s = lambda z: 1 / (1 + np.exp(-z))
+
+    def value(w):
+        return 0.5 * (1 - s(p @ w)).mean() + max(0.0, s(u @ w).mean() - 0.5 * s(p @ w).mean())
+
+    best = np.inf
+    for _ in range(20):
+        w = rng.normal(0, 2, 3)
+        for _ in range(2000):
+            zp, zu = s(p @ w), s(u @ w)
+            g = -0.5 * (zp * (1 - zp)) @ p / len(p)
+            rest = zu.mean() - 0.5 * zp.mean()
+            if rest >= 0:
+                g += (zu * (1 - zu)) @ u / len(u) - 0.5 * (zp * (1 - zp)) @ p / len(p)
+            w = w - 2 * (g + 1e-4 * w)
+        best = min(best, value(w) + 0.5e-4 * w @ w)
+    got = pu.fit_nnpu(p, u, 0.5)
+    assert value(got) == pytest.approx(pu.risk(p, u, got, 0.5)) and value(got) + 0.5e-4 * got @ got <= best + 1e-3
+
+
 def test_prior_and_risk():
     rng = np.random.default_rng(2)
     p = np.concatenate([rng.normal(2, 1, (3000, 1)), np.ones((3000, 1))], axis=1)
@@ -167,9 +289,6 @@ def test_classifier_awkward(awkward, labels):
     assert all(r.keep and r.posterior is None for r in pu.score(awkward, labels.limit(0)).collect())
 
 
-# ---- mixing ---------------------------------------------------------------------
-
-
 @pytest.fixture(scope="module")
 def mixable(spark):
     rng = random.Random(3)
@@ -202,16 +321,41 @@ def test_expected_tokens_match_targets(mixable):
     assert {r.doc_id: r["count"] for r in fitted.mixed(docs).groupBy("doc_id").count().collect()} == {d: c for d, c in copies.items() if c}
 
 
-def test_gradient_steps_reach_the_brute_force_optimum():
-    """Rates that a plain projected gradient on all rates finds have totals no nearer to the targets."""
+def plain_gradient(n: np.ndarray, p: np.ndarray, target: np.ndarray, inverse: np.ndarray, steps: int = 100_000) -> np.ndarray:
+    """Rates by projected gradient steps of one length on every rate."""
+    r = point = np.ones(len(n))
+    t = 1.0
+    pace = 1 / np.linalg.eigvals(inverse @ (n[:, None] * p).T @ p).real.max()
+    for _ in range(steps):
+        to = np.maximum(0, point - pace * p @ (inverse @ ((n * point) @ p - target)))
+        after = 1.0 if (point - to) @ (n * (to - r)) > 0 else (1 + (1 + 4 * t * t) ** 0.5) / 2
+        point = to + (t - 1) / after * (to - r) if after > 1 else to
+        r, t, moved = to, after, np.abs(to - r).max()
+        if moved < 1e-12:
+            break
+    return r
+
+
+@pytest.mark.parametrize(("weights", "alike"), [((0.7, 0.2, 0.1), 0.2), ((0.98, 0.01, 0.01), 0.2), ((1.0, 0.0, 0.0), 0.05), ((0.4, 0.3, 0.3), 30.0), ((0.9, 0.05, 0.05), 30.0)])
+def test_rates_equal_brute_force(spark, weights, alike):
+    """fit_rates and replay against plain gradient steps, with rates clipped at 0, targets of 0 and targets that no rates reach."""
     rng = np.random.default_rng(1)
-    n, p = rng.integers(1, 100, 300).astype(float), rng.dirichlet([0.2, 0.2, 0.2], 300)
-    target = n.sum() * np.array([0.7, 0.2, 0.1])
-    r = np.ones(300)
-    a = (n[:, None] * p).T
-    for _ in range(5000):
-        r = np.maximum(0, r - a.T @ (a @ r - target) / np.linalg.norm(a, 2) ** 2)
-    assert np.abs(a @ r - target).max() < 1e-3 * n.sum()
+    n, p = rng.integers(1, 100, 300).astype(float), rng.dirichlet([alike] * 3, 300)
+    target = n.sum() * np.array(weights)
+    df = spark.createDataFrame(pa.table({"n_tokens": n.astype(np.int64), "p": p.tolist()})).coalesce(2)
+    steps, shares = mixing.fit_rates(df, np.array(weights))
+    rates = mixing.replay(p, steps)
+    gram = (n[:, None] * p).T @ p
+    inverse = np.linalg.inv(gram + mixing.RIDGE * np.trace(gram) / 3 * np.eye(3))
+    want = plain_gradient(n, p, target, inverse)
+    cost = lambda r: ((n * r) @ p - target) @ inverse @ ((n * r) @ p - target)
+    assert (rates >= 0).all() and shares == pytest.approx((n * rates) @ p / n.sum(), abs=1e-9)
+    assert cost(rates) <= 1.1 * cost(want) + 1e-4 * cost(np.ones(300))
+    if weights[0] < 0.9 or alike < 1:
+        assert shares == pytest.approx(weights, abs=2e-3)
+        assert weights[0] < 0.9 or (rates == 0).sum() > 20
+    else:
+        assert np.abs(shares - weights).max() > 0.5
 
 
 def test_mixing_awkward(awkward, labels):
@@ -223,5 +367,6 @@ def test_mixing_awkward(awkward, labels):
     empty = awkward.limit(0)
     assert mixing.Mix(empty, labels, {"en": 1.0}).mixed(empty).count() == 0
     assert mixing.Mix(awkward, labels, {}).mixed(awkward).count() == awkward.count()
+    assert mixing.Mix(awkward, labels, {"en": 0.0, "es": 1.0}).mixed(awkward).columns == awkward.columns
     with pytest.raises(ValueError):
         mixing.Mix(awkward, labels, {"en": -1.0})
