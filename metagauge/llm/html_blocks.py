@@ -2,7 +2,9 @@
 
 A page is cut into blocks at block-level tags; inline tags don't cut. Of each
 block, and of the ones before and after it, the number of words and the share
-of words inside links are known; a decision tree (CART, Gini) grown on a small
+of words inside links are known, and of the block also the kind of its tag and
+whether it ends as a sentence does, for these numbers alone don't tell a heading of two
+words from a button. A decision tree (CART, Gini) grown on a small
 labelled table of blocks says which blocks are main text. Their texts, with
 character references resolved and white space collapsed, make the result, one
 line each.
@@ -16,8 +18,8 @@ tag that is no option's, and of the others the tag alone is dropped. A svg tag t
 ends in ``/>`` is closed.
 
 Defined results: a null page has null text and 0 blocks; a page without blocks
-or without main text has "". Extra columns are ignored. Repeated rows have
-repeated results.
+or without main text has "". page_ids are integers (ValueError otherwise), or
+null. Extra columns are ignored. Repeated rows have repeated results.
 """
 
 from __future__ import annotations
@@ -25,56 +27,56 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import integer
+from .html_pages import labelled_pages
 from .textcore import slices
 
 _OPEN = re.compile(r"<!--|<(title|script|style|textarea|noscript|template|svg|select|button)(?![^\s/>])[^>]*>", re.I)
 _CLOSE = {n: re.compile(rf"</{n}(?![^\s/>])[^>]*>", re.I) for n in ("script", "style", "textarea")}
 _EITHER = {n: re.compile(rf"<(/?){n}(?![^\s/>])[^>]*>", re.I) for n in ("noscript", "template", "svg", "select", "button")}
 _NOT_OPTION = re.compile(r"<(?!/?(?:option|optgroup|hr)(?![^\s/>]))[a-zA-Z/!?]", re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9-]*)[^>]*>|<[!?/][^>]*>")
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9-]*)([^>]*)>|<[!?/][^>]*>")
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after")
-
-#: The labelled table: pages as runs of blocks (words, words in links, 1 for main text).
-LABELLED = (
-    ((1, 1, 0), (1, 1, 0), (1, 1, 0), (2, 2, 0), (14, 0, 0), (9, 0, 1), (22, 0, 1), (85, 0, 1), (40, 3, 1), (61, 0, 1), (11, 0, 0)),
-    ((1, 1, 0), (2, 2, 0), (1, 1, 0), (1, 1, 0), (1, 1, 0), (6, 0, 0), (12, 0, 1), (12, 0, 1), (3, 0, 1), (70, 1, 1), (2, 0, 1), (15, 0, 0)),
-    ((1, 1, 0), (1, 1, 0), (1, 1, 0), (1, 1, 0), (21, 0, 0), (2, 0, 1), (2, 0, 1), (120, 0, 1), (9, 0, 0)),
-    ((2, 2, 0), (1, 1, 0), (1, 1, 0), (3, 0, 0), (18, 0, 1), (150, 0, 1), (44, 0, 1), (1, 0, 1), (33, 0, 1), (20, 0, 0)),
-    ((1, 1, 0), (1, 1, 0), (1, 1, 0), (10, 0, 0), (5, 0, 1), (16, 0, 1), (4, 0, 1), (8, 0, 1), (7, 0, 0)),
-    ((3, 3, 0), (2, 2, 0), (4, 4, 0), (90, 0, 1), (75, 4, 1), (110, 2, 1), (5, 5, 0), (6, 6, 0), (12, 0, 0)),
-    ((1, 1, 0), (3, 3, 0), (130, 0, 1), (8, 0, 1), (64, 0, 1), (2, 2, 0), (3, 3, 0), (10, 10, 0), (7, 1, 0)),
-    ((4, 0, 1), (55, 0, 1), (80, 5, 1), (6, 6, 0), (7, 7, 0), (5, 5, 0)),
-    ((1, 1, 0), (1, 1, 0), (17, 0, 0), (20, 0, 1), (20, 0, 1), (13, 0, 0)),
-    ((60, 0, 1),), ((200, 6, 1),), ((25, 0, 1),), ((2, 2, 0),), ((8, 8, 0),),
-    ((12, 0, 1), (95, 0, 1), (66, 3, 1)), ((7, 0, 1), (210, 0, 1), (180, 8, 1), (9, 0, 0)),
-    ((5, 5, 0), (9, 9, 0), (12, 12, 0), (10, 8, 0), (14, 12, 0), (11, 11, 0)), ((2, 2, 0), (2, 2, 0), (40, 30, 0), (30, 28, 0)),
-    ((1, 1, 0), (1, 1, 0), (1, 1, 0), (24, 0, 0), (14, 0, 1), (300, 0, 1), (26, 0, 1), (18, 0, 0)),
-    ((2, 2, 0), (1, 1, 0), (12, 0, 0), (1, 0, 1), (1, 0, 1), (6, 0, 1), (50, 0, 1), (5, 0, 0)),
-)
-
-
-def features(words: np.ndarray, links: np.ndarray, page: np.ndarray) -> np.ndarray:
-    """Rows of FEATURES of blocks in order; outside a page there are 0 words."""
-    words = words.astype(float)
-    own = np.stack([words, links / np.maximum(words, 1)])
+#: Of a block itself, then of the ones before and after it. kind: 3 for headings, 2 for paragraphs, 1 for items of lists and tables, 0 for others; stop: whether it ends as a sentence does.
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "kind", "stop")
+_KIND = dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6"), 3) | dict.fromkeys(("p", "blockquote", "pre"), 2) | dict.fromkeys(("li", "dd", "dt", "td", "th"), 1)
+_STOP = (".", "!", "?", "…", "。", "！", "？", '."', ".”", ".»", "?”", "!”", ".)", ":")
+
+
+class Block(NamedTuple):
+    text: str
+    words: int
+    linked: int
+    kind: int
+    #: Whether its tag has the attribute data-main.
+    main: bool
+
+
+def features(found: list[Block], page: np.ndarray) -> np.ndarray:
+    """Rows of FEATURES of blocks in order, of pages by number; outside a page there are 0 words."""
+    words = np.array([b.words for b in found], float)
+    own = np.stack([words, np.array([b.linked for b in found], float) / np.maximum(words, 1)])
     before, after = np.zeros_like(own), np.zeros_like(own)
     same = page[1:] == page[:-1]
     before[:, 1:] = own[:, :-1] * same
     after[:, :-1] = own[:, 1:] * same
-    return np.concatenate([own, before, after]).T
+    form = np.array([[b.kind for b in found], [b.text.endswith(_STOP) and not b.text.endswith("...") for b in found]], float)
+    return np.concatenate([own, before, after, form]).T
 
 
-def labelled_table() -> tuple[np.ndarray, np.ndarray]:
-    rows = np.array([(*b, i) for i, p in enumerate(LABELLED) for b in p])
-    return features(rows[:, 0], rows[:, 1], rows[:, 3]), rows[:, 2]
+def labelled_table(pages: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the blocks of labelled pages."""
+    parsed = [parse(p) for p in pages or labelled_pages()]
+    flat = [b for p in parsed for b in p]
+    return features(flat, np.repeat(np.arange(len(parsed)), [len(p) for p in parsed])), np.array([b.main for b in flat], int)
 
 
 def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> tuple:
@@ -166,43 +168,50 @@ def _without(page: str) -> str:
     return "".join(out)
 
 
-def blocks(page: str) -> list[tuple[str, int, int]]:
-    """(text, words, words in links) of each block that has words."""
+def parse(page: str) -> list[Block]:
+    """Blocks that have words."""
     parts = _TAG.split(_without(page))
-    out: list[tuple[str, int, int]] = []
+    out: list[Block] = []
     texts: list[str] = []
-    n = linked = 0
-    link = False
-    for i in range(0, len(parts), 3):
+    n = linked = kind = 0
+    link = main = False
+
+    def close() -> None:
+        if n:
+            own = "".join(texts).split()
+            out.append(Block(" ".join(own), len(own), min(linked, len(own)), kind, main))
+
+    for i in range(0, len(parts), 4):
         text = parts[i]
         if text:
             if "&" in text:
                 text = html.unescape(text)
             k = len(text.split())
-            if k or text:
-                texts.append(text)
-                n += k
-                linked += k * link
-        if i + 2 < len(parts):
-            tag = parts[i + 2]
+            texts.append(text)
+            n += k
+            linked += k * link
+        if i + 3 < len(parts):
+            end, tag, rest = parts[i + 1 : i + 4]
             if tag is None:
                 continue
             tag = tag.lower()
             if tag == "a":
-                link = not parts[i + 1]
+                link = not end
             elif tag == "br":
                 texts.append(" ")
             elif tag not in _INLINE:
-                if n:
-                    own = "".join(texts).split()
-                    out.append((" ".join(own), len(own), min(linked, len(own))))
+                close()
                 texts, n, linked, link = [], 0, 0, False
-    if n:
-        own = "".join(texts).split()
-        out.append((" ".join(own), len(own), min(linked, len(own))))
+                kind, main = (0, False) if end else (_KIND.get(tag, 0), "data-main" in rest)
+    close()
     return out
 
 
+def blocks(page: str) -> list[tuple[str, int, int]]:
+    """(text, words, words in links) of each block that has words."""
+    return [b[:3] for b in parse(page)]
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", tree: tuple | None = None) -> DataFrame:
     """(page_id, text, n_blocks, n_main): one row for each row of pages."""
     tree = tree or grow(*labelled_table())
@@ -210,18 +219,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                found = [None if p is None else blocks(p) for p in part.column("html").to_pylist()]
+                found = [None if p is None else parse(p) for p in part.column("html").to_pylist()]
                 sizes = np.array([len(f or ()) for f in found])
                 flat = [b for f in found if f for b in f]
-                x = features(np.array([b[1] for b in flat]), np.array([b[2] for b in flat]), np.repeat(np.arange(len(found)), sizes)) if flat else np.zeros((0, len(FEATURES)))
+                x = features(flat, np.repeat(np.arange(len(found)), sizes)) if flat else np.zeros((0, len(FEATURES)))
                 main = predict(tree, x).astype(bool).tolist()
                 texts, kept, at = [], [], 0
                 for f, k in zip(found, sizes.tolist()):
-                    own = [b[0] for b, m in zip(f or (), main[at : at + k]) if m]
+                    own = [b.text for b, m in zip(f or (), main[at : at + k]) if m]
                     at += k
                     texts.append(None if f is None else "\n".join(own))
                     kept.append(len(own))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), pa.array(texts, pa.string()), pa.array(sizes.astype(np.int32)), pa.array(kept, pa.int32())], ["page_id", "text", "n_blocks", "n_main"])
 
-    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{html_col}`").cast("string").alias("html"))
+    rows = pages.select(integer(pages, id_col).alias("page_id"), F.col(f"`{html_col}`").cast("string").alias("html"))
     return rows.mapInArrow(run, "page_id long, text string, n_blocks int, n_main int")
