@@ -283,24 +283,25 @@ def _cut(full: int, columns: list[str], text: str, cuts: str, longest: str, whol
                 rows = np.flatnonzero(np.asarray(marks.is_valid()) | (twice > 0))
                 gone, most, cut, left = [None] * part.num_rows, part.column(longest).to_pylist(), [], []
                 words = Words.of(part.column(text).take(pa.array(rows)))
+                for i in np.flatnonzero((twice[rows] > 0) & (words.counts >= full)).tolist():
+                    most[rows[i]] = max(most[rows[i]] or 0, full << (int(words.counts[i]) // full).bit_length() - 1)
+                begin, end = _spans(marks.take(pa.array(rows)), twice[rows] == 2, words, full)
                 data = words.data.tobytes()
-                for i, r in enumerate(rows.tolist()):
-                    n, first = int(words.counts[i]), int(words.first[i])
-                    if twice[r] and n >= full:
-                        most[r] = max(most[r] or 0, full << (n // full).bit_length() - 1)
-                    edges = [[0, n]] if twice[r] == 2 and n >= full else _spans(marks[r].as_py(), n, full)
-                    if not edges:
-                        continue
-                    at, pieces = int(words.offsets[i]), []
-                    for a, b in edges:
-                        pieces.append(data[at : int(words.start[first + a])])
-                        at = int(words.start[first + b]) if b < n else int(words.offsets[i + 1])
+                edge = np.searchsorted(begin, words.first)
+                for i in np.flatnonzero(np.diff(edge)).tolist():
+                    r, to, pieces = int(rows[i]), int(words.first[i + 1]), []
+                    spans = list(zip(begin[edge[i] : edge[i + 1]].tolist(), end[edge[i] : edge[i + 1]].tolist()))
+                    at = int(words.offsets[i])
+                    for a, b in spans:
+                        pieces.append(data[at : int(words.start[a])])
+                        at = int(words.start[b]) if b < to else int(words.offsets[i + 1])
                     pieces.append(data[at : int(words.offsets[i + 1])])
                     cut.append(r)
                     left.append(b"".join(pieces).decode())
-                    if edges[-1][1] == n:
+                    if spans[-1][1] == to:
                         left[-1] = left[-1].rstrip(" \t\n\r\x0b\x0c")
-                    gone[r] = [{"start": a, "end": b} for a, b in edges]
+                    first = int(words.first[i])
+                    gone[r] = [{"start": a - first, "end": b - first} for a, b in spans]
                 which = np.zeros(part.num_rows, bool)
                 which[cut] = True
                 arrays = []
@@ -320,16 +321,18 @@ def _cut(full: int, columns: list[str], text: str, cuts: str, longest: str, whol
     return run
 
 
-def _spans(marks: list[dict] | None, n: int, full: int) -> list[list[int]]:
-    """Runs of the n words that dead windows cover."""
-    flags = np.zeros(n + 1, np.int64)
-    for x in marks or ():
-        if x["dead"]:
-            start = x["lo"] + _bits(np.array([x["dead"]]))[1]
-            np.add.at(flags, start, 1)
-            np.add.at(flags, start + full, -1)
-    covered = (np.cumsum(flags[:n]) > 0).astype(np.int8)
-    return np.flatnonzero(np.diff(np.concatenate(([0], covered, [0])))).reshape(-1, 2).tolist()
+def _spans(marks: pa.Array, whole: np.ndarray, words: Words, full: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which runs of words begin and end, within their text, that dead windows cover, or whole texts of at least full words."""
+    flat, doc = _listed(marks)
+    lo, dead = (flat.field(MARKS.index(c)).to_numpy(zero_copy_only=False) for c in ("lo", "dead"))
+    row, bit = _bits(dead)
+    start = lo[row] + bit + words.first[doc[row]]
+    n = len(words.hash)
+    depth = np.cumsum(np.bincount(start, minlength=n + 1) - np.bincount(start + full, minlength=n + 1))[:n]
+    covered = (depth > 0) | (whole & (words.counts >= full))[words.doc]
+    other = np.concatenate(([True], words.doc[1:] != words.doc[:-1], [True])) if n else np.zeros(1, bool)  # texts' edges
+    before, after = np.concatenate(([False], covered)), np.concatenate((covered, [False]))
+    return np.flatnonzero(after & (~before | other)), np.flatnonzero(before & (~after | other))
 
 
 def _level(found: DataFrame, half: int, length: int, names: Names) -> DataFrame:
