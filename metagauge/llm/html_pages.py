@@ -33,6 +33,12 @@ PAGES = (
     """<nav><a href=1>{1}</a> <a href=2>{1}</a> <a href=3>{1}</a></nav><div>{4}. {5}.</div><article><h1 data-main>{10}</h1><p data-main>{31}.</p><p data-main>{5}.</p></article><footer>2023 example.org {5}.</footer>""",
     """<nav><ul><li><a href=1>{1}.</a><li><a href=2>{1}</a><li><a href=3>{1}.</a></ul></nav><div>{7}.</div><article><h1 data-main>{5}</h1><p data-main>{4}.</p></article><footer>2023 www.example.net {3}. {4}.</footer>""",
     """<nav><ul><li><a href=1>{1}</a><li><a href=2>{1}</a></ul></nav><div>{9}.</div><article><h1 data-main>{12}</h1><p data-main>{2}.</p><p data-main>{120}.</p><p data-main>{1}.</p></article><footer>2023 example.com {8}.</footer>""",
+    # Paragraphs that don't end as sentences do: verse, text before a list, text that ends in a link; and notices that do.
+    """<h1 data-main>{3}</h1><p data-main>{24}</p><p data-main>{31}</p><p data-main>{22}</p><p>Share this</p>""", "<p data-main>{70}</p>", "<p data-main>{41}</p><p data-main>{27} <a href=x>{3}</a></p>", "<article data-main>{90}</article>",
+    """<div>We use cookies to improve this site.</div><div>Accept</div><h2 data-main>{4}</h2><p data-main>{26}</p><ul><li data-main>{7}<li data-main>{9}</ul><p data-main>{55}.</p><p>Please enable scripts.</p><p><a href=1>Home</a> <a href=2>About</a></p>""",
+    # Short paragraphs after short headings and after each other.
+    """<h1 data-main>{2}</h1><p data-main>{3}.</p><p data-main>{2}.</p><p data-main>{36}.</p><p data-main>{1}.</p><p data-main>{4}.</p><div>{3}.</div>""",
+    """<nav><a href=1>{1}</a> <a href=2>{1}.</a></nav><div>{5}.</div><h1 data-main>{1}</h1><p data-main>{4}.</p><p data-main>{19}.</p><p data-main>{3}.</p><footer>2022 example.com {2}.</footer>""",
     # Recipe: list items without full stops are text.
     """<div>Skip to content</div><h1 data-main>{3}</h1><div>Rating 4.5</div><p data-main>{28}.</p><h2 data-main>{1}</h2><ul><li data-main>{4}<li data-main>{5}<li data-main>{3}<li data-main>{4}</ul><h2 data-main>{1}</h2><p data-main>{63}.</p><div>Print</div><div>Save</div><p>Follow us for more</p>""",
     # Press release with a quotation and contact lines.
