@@ -10,11 +10,12 @@ No piece of the vocabularies served has a space mark inside or after other
 characters, nor a line feed, so texts fall into chunks (spaces and what
 follows up to the next space or line feed) that encode independently. The
 distinct chunks of an Arrow batch are encoded once; those that a worker has
-not met before are checked against the sentencepiece library, ids and decoded
-bytes alike. Both outcomes are columns of the result.
+not met before are checked against the sentencepiece library. Each text's ids are
+decoded and compared with it. Both outcomes are columns of the result.
 
 Defined results: a null text has null ids and n_tokens 0; an empty one has no
-ids. Characters without a piece become byte pieces. Extra columns are ignored.
+ids. Characters without a piece become byte pieces. doc_ids are integers
+(ValueError otherwise), or null. Extra columns are ignored.
 A vocabulary that breaks the assumptions above (unigram, no byte fallback, a
 normaliser other than identity) raises ValueError on the driver.
 """
@@ -31,13 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import integer
 from .textcore import flat, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE = 250_000
+#: Chunks that a worker remembers, and symbols from which on a string has a heap of its own: for memory and speed; results don't depend on them.
+CACHE, LONG = 250_000, 200
 SLICE = 1_000_000
-LONG = 200
 _NONE = np.iinfo(np.int32).max
 
 
@@ -219,33 +221,29 @@ class Encoder:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.pool = np.zeros(0, np.int32)
-        self.start, self.count, self.same, self.round = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool)
+        self.start, self.count, self.same = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def learn(self, chunks: list[str]) -> None:
         ids, offsets = self.bpe.encode(chunks)
         base = len(self.known)
         counts = np.diff(offsets)
-        same = round_trip = np.ones(len(chunks), bool)
+        same = np.ones(len(chunks), bool)
         if self.check:
             theirs = self.bpe.library(chunks)
             lens = np.fromiter(map(len, theirs), np.int64, len(theirs))
-            if np.array_equal(lens, counts) and np.array_equal(np.fromiter(chain.from_iterable(theirs), np.int32, int(lens.sum())), ids):
-                pass
-            else:
+            if not np.array_equal(lens, counts) or not np.array_equal(np.fromiter(chain.from_iterable(theirs), np.int32, int(lens.sum())), ids):
                 same = np.array([t == ids[a:b].tolist() for t, a, b in zip(theirs, offsets[:-1].tolist(), offsets[1:].tolist())])
-            data, ends = self.bpe.raw(ids)
-            if data.tobytes() != "".join(chunks).encode():
-                round_trip = np.array([data[ends[a] : ends[b]].tobytes() == c.encode() for c, a, b in zip(chunks, offsets[:-1], offsets[1:])])
         self.known.update(zip(chunks, range(base, base + len(chunks))))
         self.start = np.concatenate((self.start, len(self.pool) + offsets[:-1]))
         self.pool = np.concatenate((self.pool, ids))
         self.count = np.concatenate((self.count, counts))
-        self.same, self.round = np.concatenate((self.same, same)), np.concatenate((self.round, round_trip))
+        self.same = np.concatenate((self.same, same))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, n + 1 offsets, and per text whether the library agrees and whether decoding gives it back."""
+        """Ids, n + 1 offsets, and per text, with check, whether the library agrees and whether decoding gives it back."""
         texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
         n = len(texts)
+        before = texts
         if pc.any(pc.match_substring(texts, MARK)).as_py():  # the library takes a mark for a space
             texts = pc.replace_substring(texts, MARK, " ")
         some = pc.not_equal(pc.binary_length(texts), 0)
@@ -274,8 +272,28 @@ class Encoder:
         ends = np.concatenate(([0], np.cumsum(counts)))
         ids = self.pool[np.repeat(self.start[which] - ends[:-1], counts) + np.arange(ends[-1])]
         first = np.searchsorted(at[:-1], offsets)
-        wrong = [np.concatenate(([0], np.cumsum(~flags[which]))) for flags in (self.same, self.round)]
-        return ids, ends[first], *(w[first[1:]] == w[first[:-1]] for w in wrong)
+        offsets = ends[first]
+        if not self.check:
+            return ids, offsets, np.ones(n, bool), np.ones(n, bool)
+        wrong = np.concatenate(([0], np.cumsum(~self.same[which])))
+        return ids, offsets, wrong[first[1:]] == wrong[first[:-1]], self.decodes(ids, offsets, before)
+
+    def decodes(self, ids: np.ndarray, offsets: np.ndarray, texts: pa.Array) -> np.ndarray:
+        """Of each text whether it is what its ids decode to."""
+        data, at = flat(texts)
+        got, ends = self.bpe.raw(ids)
+        ends = ends[offsets]
+        some = np.diff(ends) > 0
+        size = np.diff(ends) - some  # but for the space put before
+        out = size == np.diff(at)
+        keep = np.ones(len(got), bool)
+        keep[ends[:-1][some]] = False
+        got = got[keep]
+        if out.all():
+            off = np.concatenate(([0], np.cumsum(got != data)))
+            return off[at[1:]] == off[at[:-1]]
+        to = np.cumsum(size)
+        return np.array([o and np.array_equal(got[e - s : e], data[a:b]) for o, s, e, a, b in zip(out.tolist(), size.tolist(), to.tolist(), at[:-1].tolist(), at[1:].tolist())], bool)
 
 
 _encoders: dict[tuple[int, bool], Encoder] = {}
@@ -297,9 +315,8 @@ def id_lists(ids: np.ndarray, offsets: np.ndarray, valid: np.ndarray) -> pa.Arra
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: bytes | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids, library_equal, decoded_equal) of every row.
 
-    The library takes U+2581 for a space, so decoded_equal compares with the text
-    with each of these marks as a space: it is true although a text that has the
-    mark doesn't come back with it.
+    decoded_equal is whether the ids, decoded, are the text, byte for byte. The library takes U+2581 for a
+    space, so it is false for texts that have this mark.
     """
     model = model or load()
     Bpe(model)  # fails here rather than in a task
@@ -314,7 +331,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                     ["doc_id", "n_tokens", "ids", "library_equal", "decoded_equal"],
                 )
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = docs.select(integer(docs, id_col).alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens int, ids array<int>, library_equal boolean, decoded_equal boolean")
 
 

@@ -10,6 +10,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from metagauge.llm import pfor, spm
 
@@ -19,7 +20,7 @@ ENCODER = spm.Encoder(spm.load(), check=True)
 
 def encode(texts):
     ids, at, same, back = ENCODER.encode(pa.array(texts, pa.string()))
-    assert same.all() and back.all()
+    assert same.all() and back.tolist() == ["▁" not in t for t in texts]
     return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
 
 
@@ -41,15 +42,17 @@ def test_documents_encode_and_decode_as_the_library_does(docs):
     got = spm.decode(coded).collect()
     assert len(got) == len(rows)
     for r in got:
-        assert r.ids == LIB.encode(rows[r.doc_id]) and r.n_tokens == len(r.ids) and r.library_equal and r.decoded_equal
-        assert r.text == LIB.decode(r.ids) == rows[r.doc_id].replace("▁", " ")
+        assert r.ids == LIB.encode(rows[r.doc_id]) and r.n_tokens == len(r.ids) and r.library_equal
+        assert r.text == LIB.decode(r.ids) == rows[r.doc_id].replace("▁", " ") and r.decoded_equal == (r.text == rows[r.doc_id])
 
 
 def test_encode_awkward(awkward):
     want = sorted(((r.doc_id, None if r.text is None else LIB.encode(r.text)) for r in awkward.select("doc_id", "text").collect()), key=repr)
     got = spm.encode(awkward).collect()
     assert sorted(((r.doc_id, r.ids) for r in got), key=repr) == want
-    assert all(r.library_equal and r.decoded_equal for r in got)
+    assert all(r.library_equal and r.decoded_equal == (r.doc_id != 10) for r in got)  # 10 has a mark
+    with pytest.raises(ValueError, match="ids are integers"):
+        spm.encode(awkward.withColumn("doc_id", F.lit("a17")))
     assert spm.encode(awkward.limit(0)).count() == 0
     assert [r.text for r in spm.decode(spm.encode(awkward).where("ids is null")).collect()] == [None, None]
 
@@ -100,5 +103,5 @@ def test_packed_awkward(spark, awkward):
         assert (r.payload is None) == (r.block_starts is None) == (r.ids is None) and r.n_tokens == len(r.ids or [])
     assert {bytes(r.payload) for r in got if r.payload is not None and r.n_tokens == 0} == {b""}
     assert pfor.tokenized(awkward.limit(0)).count() == 0
-    lists = spark.createDataFrame([(1, [3, 1]), (2, []), (None, None), (4, [random.Random(1).randrange(2**31) for _ in range(1000)])], "doc_id long, ids array<long>")
+    lists = spark.createDataFrame([(7, [2**32 - 1, 0, 2**32 - 2] * 100), (1, [3, 1]), (2, []), (None, None), (4, [random.Random(1).randrange(2**31) for _ in range(1000)])], "doc_id long, ids array<long>")
     assert [r.ids for r in pfor.decode(pfor.encode_ids(lists)).collect()] == [r.ids for r in lists.collect()]
