@@ -12,7 +12,8 @@ bits; exceptions as position uint8 each, then value above the minimum uint32
 each. Packed, an exception's own bits are zero.
 
 Defined results: null ids have null payload and block_starts and 0 tokens;
-no ids have an empty payload. Ids are integers from 0 to 2**32 - 1.
+no ids have an empty payload. Ids are integers from 0 to 2**32 - 1. doc_ids are
+integers (ValueError otherwise), or null; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,11 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.fs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import spm
-from .textcore import slices
+from .columns import integer
+from .textcore import flat, slices
 
 BLOCK = 128
 PERCENTILE = 0.9
@@ -108,8 +112,38 @@ def unpack_block(payload: bytes, start: int) -> np.ndarray:
     return (out + np.uint64(head["least"])).astype(np.int64)
 
 
+def unpack_blocks(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all blocks that start at these bytes, and how many each has: blocks of one width are unpacked together."""
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    head = data[start[:, None] + np.arange(HEAD.itemsize)].view(HEAD).ravel()
+    count, bits, odd = head["last"].astype(np.int64) + 1, head["bits"].astype(np.int64), head["odd"].astype(np.int64)
+    n_words = (bits * count + 63) // 64
+    out = np.zeros((len(start), BLOCK), np.uint64)
+    for b in np.unique(bits[bits > 0]).tolist():
+        mine = np.flatnonzero(bits == b)
+        raw = np.zeros((len(mine), 2 * b + 1), np.uint64)
+        for n in np.unique(n_words[mine]).tolist():
+            some = np.flatnonzero(n_words[mine] == n)
+            raw[some, :n] = np.ascontiguousarray(data[(start[mine[some]] + HEAD.itemsize)[:, None] + np.arange(8 * n)]).view("<u8")
+        raw = np.ascontiguousarray(raw.T)
+        for i in range(BLOCK):
+            w, s = divmod(i * b, 64)
+            x = raw[w] >> np.uint64(s)
+            if s + b > 64:
+                x |= raw[w + 1] << np.uint64(64 - s)
+            out[mine, i] = x & np.uint64((1 << b) - 1)
+    row = np.repeat(np.arange(len(start)), odd)
+    if len(row):
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(odd) - odd, odd)
+        base = (start + HEAD.itemsize + 8 * n_words)[row]
+        out[row, data[base + nth]] = np.ascontiguousarray(data[(base + odd[row] + 4 * nth)[:, None] + np.arange(4)]).view("<u4").ravel()
+    out += head["least"].astype(np.uint64)[:, None]
+    return out[np.arange(BLOCK) < count[:, None]].astype(np.int64), count
+
+
 def unpack(payload: bytes, starts: list[int]) -> np.ndarray:
-    return np.concatenate([unpack_block(payload, s) for s in starts] or [np.zeros(0, np.int64)])
+    return unpack_blocks(np.frombuffer(payload, np.uint8), np.array(starts, np.int64))[0]
 
 
 def _columns(ids: np.ndarray, offsets: np.ndarray, valid: np.ndarray, percentile: float) -> list[pa.Array]:
@@ -139,7 +173,7 @@ def encode_ids(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
                 valid = np.asarray(lists.is_valid())
                 yield pa.RecordBatch.from_arrays([part.column(0), *_columns(values.to_numpy(), np.concatenate(([0], np.cumsum(counts))), valid, percentile)], ["doc_id", "n_tokens", "payload", "block_starts"])
 
-    return tokens.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{ids_col}`").cast("array<long>").alias("ids")).mapInArrow(run, SCHEMA)
+    return tokens.select(integer(tokens, id_col).alias("doc_id"), F.col(f"`{ids_col}`").cast("array<long>").alias("ids")).mapInArrow(run, SCHEMA)
 
 
 def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: bytes | None = None, percentile: float = PERCENTILE) -> DataFrame:
@@ -154,14 +188,66 @@ def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                 ids, offsets, _, _ = own.encode(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *_columns(ids, offsets, np.asarray(part.column("text").is_valid()), percentile)], ["doc_id", "n_tokens", "payload", "block_starts"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(integer(docs, id_col).alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
 def decode(packed: DataFrame) -> DataFrame:
     """All columns and ids, in place of a column of that name: exact round trip of payload and block_starts."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<long>")
     def ids(payload: pa.Array, starts: pa.Array) -> pa.Array:
-        return pa.array([None if p is None or s is None else unpack(p, s).astype(np.int32) for p, s in zip(payload.to_pylist(), starts.to_pylist())], pa.list_(pa.int32()))
+        data, at = flat(payload)
+        lists = starts.combine_chunks() if isinstance(starts, pa.ChunkedArray) else starts
+        sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values, counts = unpack_blocks(data, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(at[:-1], sizes))
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(sizes)))]
+        known = np.asarray(payload.is_valid()) & np.asarray(lists.is_valid())
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values), mask=None if known.all() else pa.array(~known))
 
     return packed.withColumn("ids", ids("payload", "block_starts"))
+
+
+INDEX = "doc_id long, n_tokens int, file string, at long, size int, block_starts array<int>"
+
+
+def write(packed: DataFrame, folder: str) -> None:
+    """Shards of payloads, one for each task, in a folder that all executors share, and under index their index as Parquet.
+
+    A task that is run again writes another shard; the index names those that count.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, at = pa.fs.FileSystem.from_uri(folder)
+        fs.create_dir(at, recursive=True)
+        task = TaskContext.get()
+        name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.bin"
+        end, parts = 0, []
+        with fs.open_output_stream(f"{at}/{name}") as out:
+            for batch in batches:
+                data, ends = flat(batch.column("payload"))
+                out.write(np.ascontiguousarray(data))
+                files = pa.array([name] * batch.num_rows, pa.string())
+                parts.append([batch.column("doc_id"), batch.column("n_tokens"), files, pa.array(end + ends[:-1]), pa.array(np.diff(ends).astype(np.int32)), batch.column("block_starts")])
+                end += int(ends[-1])
+        for columns in parts:  # after the shard is whole
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "file", "at", "size", "block_starts"])
+
+    packed.select("doc_id", "n_tokens", "payload", "block_starts").mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, n_tokens, payload, block_starts) as they were written; each row reads its own bytes of a shard."""
+
+    @F.arrow_udf("binary")
+    def payload(file: pa.Array, at: pa.Array, size: pa.Array, known: pa.Array) -> pa.Array:
+        fs, root = pa.fs.FileSystem.from_uri(folder)
+        open_: dict[str, pa.NativeFile] = {}
+        out = []
+        for f, a, n, k in zip(file.to_pylist(), at.to_pylist(), size.to_pylist(), known.to_pylist()):
+            if k and f not in open_:
+                open_[f] = fs.open_input_file(f"{root}/{f}")
+            out.append(open_[f].read_at(n, a) if k else None)
+        return pa.array(out, pa.binary())
+
+    rows = spark.read.schema(INDEX).parquet(f"{folder}/index")
+    return rows.select("doc_id", "n_tokens", payload("file", "at", "size", F.col("block_starts").isNotNull()).alias("payload"), "block_starts")
