@@ -10,7 +10,9 @@ where roots differ, differing sections and in them differing leaves tell where.
 All of it is native column expressions; nothing is shuffled for the trees.
 
 Defined results: a null text has a null tree; an empty one has no sections and
-the root of none. Rows that repeat are equal. Extra columns are ignored.
+the root of none. Rows that repeat are equal. doc_ids are integers (ValueError
+otherwise); of equal texts the null ones are named by another's. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import integer
+from .scratch import written
+
 _EDGE = r"^[ \t\r\x0b\f]+|[ \t\r\x0b\f]+$"
 
 
@@ -36,7 +41,7 @@ def leaves(paragraphs: Column) -> Column:
 
 def tree(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, root, sections, leaves): hex digests; leaves is a list for each section."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), leaves(sections(F.col(f"`{text_col}`"))).alias("leaves"))
+    rows = docs.select(integer(docs, id_col).alias("doc_id"), leaves(sections(F.col(f"`{text_col}`"))).alias("leaves"))
     rows = rows.withColumn("sections", F.transform("leaves", lambda s: F.sha2(F.concat(F.lit("s"), F.array_join(s, "")), 256)))
     return rows.select("doc_id", F.sha2(F.concat(F.lit("d"), F.array_join("sections", "")), 256).alias("root"), "sections", "leaves")
 
@@ -44,11 +49,15 @@ def tree(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The tree of each row, and equal_to: the least doc_id with this root (its own where there is no other; null for null text).
 
-    One aggregation of roots, joined back on them: 72 bytes a document are shuffled, texts are not.
+    Trees are made once and written. Of them roots and ids alone are aggregated, with map-side combine; roots of several rows
+    are joined back, which shuffles each tree once. Both sides of that join are tables, so that adaptive
+    execution may split a root of very many rows; null roots stay out of it.
     """
-    rows = tree(docs, id_col, text_col)
-    same = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("equal_to"))
-    return rows.join(same, "root", "left").select("doc_id", "root", F.size("sections").alias("n_sections"), F.when(F.col("leaves").isNotNull(), F.size(F.flatten("leaves"))).alias("n_paragraphs"), "sections", "leaves", "equal_to")
+    rows = written(tree(docs, id_col, text_col), "merkle-trees")
+    same = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "least")
+    whole = rows.where("root is not null").join(written(same, "merkle-equal"), "root", "left").withColumn("equal_to", F.coalesce("least", "doc_id"))
+    out = whole.select(*rows.columns, "equal_to").union(rows.where("root is null").withColumn("equal_to", F.lit(None).cast("long")))
+    return out.select("doc_id", "root", F.size("sections").alias("n_sections"), F.when(F.col("leaves").isNotNull(), F.size(F.flatten("leaves"))).alias("n_paragraphs"), "sections", "leaves", "equal_to")
 
 
 def differences(old: DataFrame, new: DataFrame, on: str = "doc_id") -> DataFrame:
@@ -57,8 +66,8 @@ def differences(old: DataFrame, new: DataFrame, on: str = "doc_id") -> DataFrame
     old and new have ``on``, root, sections and leaves, and one row for each document. change is added or
     removed for a document that only one has, else edited with a row for each place: a differing section,
     by its place in new, and in it each differing paragraph; sections are compared place by place after
-    the equal ones at the start and at the end are set aside, paragraphs likewise. Equal roots give no rows,
-    and their branches aren't looked at.
+    the equal ones at the start and at the end are set aside, paragraphs likewise, and equal ones between are left out. Equal
+    roots give no rows, and their branches aren't looked at.
     """
     a = old.select(F.col(on).alias("doc_id"), *[F.col(c).alias(f"old_{c}") for c in ("root", "sections", "leaves")], F.lit(True).alias("in_old"))
     b = new.select(F.col(on).alias("doc_id"), *[F.col(c).alias(f"new_{c}") for c in ("root", "sections", "leaves")], F.lit(True).alias("in_new"))
@@ -89,24 +98,44 @@ def _places(old: str, new: str) -> Column:
     tail = run(F.reverse(o), F.reverse(n), least - head)
     more = F.greatest(F.size(o), F.size(n)) - head - tail
     i = F.when(more > 0, F.sequence(F.lit(0), more - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(i, lambda k: F.struct(F.when(head + k < F.size(o) - tail, head + k).alias("o"), F.when(head + k < F.size(n) - tail, head + k).alias("n")))
-
-
-SQL = r"""
-with lines as (
-  select doc_id, text, list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12))) as l from documents
-), blocks as (
-  select doc_id, regexp_split_to_array(array_to_string(list_transform(l, lambda x: case when starts_with(x, '#') then chr(10) || chr(10) || x else x end), chr(10)), '\n\n+') as b from lines
-), parts as (
-  select doc_id, list_filter(list_transform(b, lambda y: list_filter(string_split(y, chr(10)), lambda x: x <> '')), lambda s: len(s) > 0) as s from blocks
-), leaf as (
-  select doc_id, list_transform(s, lambda y: list_transform(y, lambda p: sha256('p' || p))) as leaves from parts
-), sect as (
-  select doc_id, leaves, list_transform(leaves, lambda y: sha256('s' || array_to_string(y, ''))) as sections from leaf
-), tree as (
-  select doc_id, sha256('d' || array_to_string(sections, '')) as root, sections, leaves from sect
-)
+    places = F.transform(i, lambda k: F.struct(F.when(head + k < F.size(o) - tail, head + k).alias("o"), F.when(head + k < F.size(n) - tail, head + k).alias("n")))
+    return F.filter(places, lambda p: ~F.get(o, p["o"]).eqNullSafe(F.get(n, p["n"])))
+
+
+def _tree_sql(name: str, text: str) -> str:
+    """CTEs that end in name (doc_id, root, sections, leaves)."""
+    return rf"""{name}_lines as (
+  select doc_id, list_transform(string_split({text}, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12))) as l from documents
+), {name}_blocks as (
+  select doc_id, regexp_split_to_array(array_to_string(list_transform(l, lambda x: case when starts_with(x, '#') then chr(10) || chr(10) || x else x end), chr(10)), '\n\n+') as b from {name}_lines
+), {name}_parts as (
+  select doc_id, list_filter(list_transform(b, lambda y: list_filter(string_split(y, chr(10)), lambda x: x <> '')), lambda s: len(s) > 0) as s from {name}_blocks
+), {name}_leaf as (
+  select doc_id, list_transform(s, lambda y: list_transform(y, lambda p: sha256('p' || p))) as leaves from {name}_parts
+), {name}_sect as (
+  select doc_id, leaves, list_transform(leaves, lambda y: sha256('s' || array_to_string(y, ''))) as sections from {name}_leaf
+), {name} as (
+  select doc_id, sha256('d' || array_to_string(sections, '')) as root, sections, leaves from {name}_sect
+)"""
+
+
+SQL = f"""
+with {_tree_sql("tree", "text")}
 select doc_id, root, cast(len(sections) as integer) as n_sections, cast(len(flatten(leaves)) as integer) as n_paragraphs, sections, leaves,
   case when root is not null then min(doc_id) over (partition by root) end as equal_to
 from tree
 """
+
+
+def edited(docs: DataFrame) -> DataFrame:
+    """docs of integers doc_id with words in their texts replaced: a second version to compare with."""
+    return docs.select("doc_id", F.replace("text", F.lit(" the "), F.lit(" THE ")).alias("text"))
+
+
+#: Edits of edited(), which neither add nor remove paragraphs, place by place.
+EDITS_SQL = f"""
+with {_tree_sql("old", "text")}, {_tree_sql("new", "replace(text, ' the ', ' THE ')")},
+s as (select doc_id, unnest(range(len(old.leaves))) as i, old.leaves as a, new.leaves as b from old join new using (doc_id) where old.root <> new.root),
+p as (select doc_id, i, unnest(range(len(a[i + 1]))) as j, a, b from s)
+select doc_id, 'edited' as change, cast(i as integer) as section, cast(j as integer) as paragraph from p where a[i + 1][j + 1] <> b[i + 1][j + 1]
+"""

@@ -25,6 +25,12 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def document_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where documents and a second version of them differ."""
+    docs = _table(spark, sf_dir, "documents")
+    return merkle.differences(merkle.tree(docs), merkle.tree(merkle.edited(docs)))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that stay, each with the list of its group."""
     return minhash.groups(_table(spark, sf_dir, "documents"))
@@ -67,7 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_quality_rules, op2_document_fingerprints, op3_minhash_near_dedup, op4_substring_dedup, op5_url_filters,
-            op6_token_id_output, op7_source_mixing, op8_quality_classifier, op9_html_extraction, op10_sentencepiece,
+            op6_token_id_output, op7_source_mixing, op8_quality_classifier, op9_html_extraction, op10_sentencepiece, document_edits,
         )
     }
 
@@ -83,4 +89,4 @@ from hosts left join (values {_ENTRIES}) as e(entry) on host = e.entry or ends_w
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_document_fingerprints": merkle.SQL, "op5_url_filters": _URL_SQL}
+    return {"op2_document_fingerprints": merkle.SQL, "document_edits": merkle.EDITS_SQL, "op5_url_filters": _URL_SQL}

@@ -58,7 +58,7 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"" if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else "")
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
     _, offs, data = texts.buffers()
     if offs is None or len(texts) == 0:

@@ -64,6 +64,11 @@ def test_differences_locate_edits(spark):
     assert sorted((r.doc_id, r.change) for r in merkle.differences(a, b).where("section is null").collect()) == [(3, "removed"), (4, "added")]
 
 
+def test_equal_paragraphs_between_edits_are_left_out(spark):
+    a, b = (merkle.tree(spark.createDataFrame([(1, t)], "doc_id long, text string")) for t in ("a\nb\nc\n\nd\n\ne", "x\nb\nz\n\nd\n\ny"))
+    assert sorted(tuple(r) for r in merkle.differences(a, b).collect()) == [(1, "edited", 0, 0), (1, "edited", 0, 2), (1, "edited", 2, 0)]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_random_edits_are_found(spark, seed):
     rng = random.Random(seed)

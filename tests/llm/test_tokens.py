@@ -105,3 +105,12 @@ def test_packed_awkward(spark, awkward):
     assert pfor.tokenized(awkward.limit(0)).count() == 0
     lists = spark.createDataFrame([(7, [2**32 - 1, 0, 2**32 - 2] * 100), (1, [3, 1]), (2, []), (None, None), (4, [random.Random(1).randrange(2**31) for _ in range(1000)])], "doc_id long, ids array<long>")
     assert [r.ids for r in pfor.decode(pfor.encode_ids(lists)).collect()] == [r.ids for r in lists.collect()]
+
+
+def test_shards_come_back(spark, awkward, docs, tmp_path):
+    for i, table in enumerate((awkward, docs, docs.limit(0))):
+        packed = pfor.tokenized(table)
+        pfor.write(packed, f"file://{tmp_path}/{i}")
+        as_rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+        assert as_rows(pfor.read(spark, f"file://{tmp_path}/{i}")) == as_rows(packed)
+    assert len(list((tmp_path / "1").glob("*.bin"))) >= 1
