@@ -15,7 +15,8 @@ the groups are those of all pairs. Groups are connected components.
 Defined results: null and empty texts have no shingles and are never near to
 anything; they stay. Texts shorter than a shingle are one shingle. Rows that
 repeat both doc_id and text are one document. Ties are broken by (doc_id, text
-hash); a null doc_id sorts first. Extra columns pass through.
+hash); doc_ids are integers (ValueError otherwise), a null one sorts first, as
+-2**63 does. Extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,14 +26,15 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import NO_ID, free, key
 from .scratch import drop, written
 from .textcore import Words, mix, shingles, signed, slices
 
-NO_ID = -(2**63)
 K, H, TEXT = "_mh_key", "_mh_hash", "_mh_text"
+#: BITS may be 1, 2, 4 or 8.
 PERMUTATIONS, BITS, ROWS, SHINGLE = 128, 2, 4, 3
 THRESHOLD = 0.7
 LONGS = PERMUTATIONS * BITS // 64
@@ -112,15 +114,22 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def similarity(a: str, b: str) -> Column:
     """Collision-corrected estimate from the packed signatures in columns a_s0 ... and b_s0 ..."""
-    mask = int("01" * 32, 2) if BITS == 2 else None
+    mask = int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)  # the lowest bit of each slot
+    mask -= (mask >> 63) << 64
     off: list[Column] = []
     for s in SIGS:
         x = F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))
-        off.append(F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(mask))))
+        off.append(F.bit_count(reduce(Column.bitwiseOR, [F.shiftright(x, i) for i in range(BITS)]).bitwiseAND(F.lit(mask))))
     share = 1 - reduce(Column.__add__, off) / F.lit(float(PERMUTATIONS))
     return (share - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
+def _with_least(edges: DataFrame, written_as: str) -> tuple[DataFrame, DataFrame]:
+    """edges with m, the least b of their a, and the table of these, which a hub of very many edges comes to after map-side combine."""
+    least = written(edges.groupBy("a").agg(F.min("b").alias("m")), written_as)
+    return edges.join(least, "a"), least
+
+
 def components(edges: DataFrame, written_as: str = "mh-components") -> DataFrame:
     """(node, root): the least node of each node's component, for nodes of edges (a, b).
 
@@ -130,60 +139,64 @@ def components(edges: DataFrame, written_as: str = "mh-components") -> DataFrame
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), written_as)
     sums = None
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = Window.partitionBy("a")
-        large = both.withColumn("m", F.least("a", F.min("b").over(least))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        small = large.withColumn("m", F.min("b").over(least))
-        small = small.select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a != b").distinct()
+        both, first = _with_least(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), written_as)
+        large = written(both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a != b").distinct(), written_as)
+        small, second = _with_least(large, written_as)
+        small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").where("a != b").distinct()
         after = written(small, written_as)
-        drop(edges)
+        for gone in (edges, first, large, second):
+            drop(gone)
         edges = after
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == sums:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            roots = edges.withColumnsRenamed({"a": "node", "b": "root"})
+            roots._scratch = edges._scratch
+            return roots
         sums = now
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(_mh_key, _mh_hash, root_key, root_hash): the document that stays of each document's group."""
-    keyed = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias(K), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias(H), F.col(f"`{text_col}`").alias(TEXT))
-    signed_docs = written(signatures(keyed), "mh-signatures")
+    keyed = docs.select(key(docs, id_col).alias(K), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias(H), F.col(f"`{text_col}`").alias(TEXT))
     place = F.struct(K, H)
-    alone = F.when(F.size("bands") == 0, place)  # texts without shingles aren't near to each other
-    # A node is named by a hash of its least document.
-    members = signed_docs.withColumn("alone", alone).withColumn("least", F.min(place).over(Window.partitionBy(*SIGS, "alone")))
-    members = written(members.select(K, H, "least", "bands", *SIGS).withColumn("node", F.xxhash64("least")), "mh-members")
-    nodes = members.where(F.struct(K, H) == F.col("least")).dropDuplicates([K, H])
+    # A node is named by a hash of its signature; texts without shingles aren't near to each other.
+    node = F.when(F.size("bands") == 0, F.xxhash64(K, H)).otherwise(F.xxhash64(*SIGS))
+    members = written(signatures(keyed).withColumn("node", node), "mh-signatures")
+    least = members.groupBy("node").agg(F.min(F.struct(K, H, "bands", *SIGS)).alias("x"))
+    nodes = written(least.select("node", "x.bands", *[f"x.{s}" for s in SIGS]), "mh-nodes")
     sigs = nodes.select("node", *SIGS)
 
+    # The least node leads its bucket: any fixed choice will do. Buckets are aggregated with map-side combine, so that one that
+    # very many share is no task of its own, and written, so that adaptive execution may split it in the join.
     keys = nodes.select("node", F.explode("bands").alias("band"))
-    bucket = Window.partitionBy("band")
-    # The name of the least node: any fixed choice will do.
-    keys = keys.withColumn("lead", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket)).where("lead != last").select("band", "lead", "node")
-    keys = written(keys, "mh-buckets")
+    leads = written(keys.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead != last").select("band", "lead"), "mh-leads")
+    keys = written(keys.join(leads, "band").where("lead != node").select("band", "lead", "node"), "mh-buckets")
 
     def close(pairs: DataFrame) -> DataFrame:
         left, right = (sigs.select(F.col("node").alias(n), *[F.col(s).alias(f"{n}_{s}") for s in SIGS]) for n in ("a", "b"))
         return pairs.join(left, "a").join(right, "b").select("a", "b", (similarity("a_", "b_") >= accept(threshold)).alias("near"))
 
-    led = written(close(keys.where("lead != node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()), "mh-led")
-    far = keys.where("lead != node").join(led.where("not near").select(F.col("a").alias("lead"), F.col("b").alias("node")), ["lead", "node"], "left_semi").select("band", F.col("node").alias("a"))
-    rest = far.join(keys.where("lead != node").select("band", F.col("node").alias("b")), "band").where("a != b")
+    led = written(close(keys.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()), "mh-led")
+    far = keys.join(led.where("not near").select(F.col("a").alias("lead"), F.col("b").alias("node")), ["lead", "node"], "left_semi").select("band", F.col("node").alias("a"))
+    rest = far.join(keys.select("band", F.col("node").alias("b")), "band").where("a != b")
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = led.where("near").select("a", "b").union(close(rest).where("near").select("a", "b"))
     roots = components(edges)
 
-    grouped = members.select(K, H, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    top = grouped.groupBy("root").agg(F.min(place).alias("top"))
-    # Singletons need no join: only documents of nodes that are in a group are looked up.
+    grouped = written(members.select(K, H, "node").join(roots, "node", "left").select(K, H, F.coalesce("root", "node").alias("root")), "mh-grouped")
+    top = written(grouped.groupBy("root").agg(F.min(place).alias("top")), "mh-first")
+    for gone in (members, nodes, leads, keys, led, roots):
+        drop(gone)
     return grouped.join(top, "root").select(K, H, F.col(f"top.{K}").alias("root_key"), F.col(f"top.{H}").alias("root_hash"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs without all but the first document, by (doc_id, text hash), of each group; repeated rows go too."""
-    kept = near_duplicates(docs, id_col, text_col, threshold).where(f"{K} = root_key and {H} = root_hash").select(K, H).distinct()
-    keyed = docs.withColumns({K: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), H: F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
-    out = keyed.join(kept, [K, H], "left_semi").withColumn("_mh_row", F.row_number().over(Window.partitionBy(K, H).orderBy(F.lit(0)))).where("_mh_row = 1")
+    found = near_duplicates(docs, id_col, text_col, threshold)
+    k, h = (free(docs, x) for x in (K, H))
+    kept = written(found.where(f"{K} = root_key and {H} = root_hash").select(F.col(K).alias(k), F.col(H).alias(h)).distinct(), "mh-kept")
+    keyed = docs.withColumns({k: key(docs, id_col), h: F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
+    out = keyed.join(kept, [k, h], "left_semi").dropDuplicates([k, h])
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 

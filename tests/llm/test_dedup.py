@@ -64,7 +64,11 @@ def test_near_duplicates_equal_brute_force(near):
     assert all(k <= d for d, k in group.items())
 
 
-def test_similarity_is_corrected_for_collisions(spark):
+@pytest.mark.parametrize("bits", [1, 2, 4, 8])
+def test_similarity_is_corrected_for_collisions(spark, monkeypatch, bits):
+    monkeypatch.setattr(minhash, "BITS", bits)
+    monkeypatch.setattr(minhash, "LONGS", minhash.PERMUTATIONS * bits // 64)
+    monkeypatch.setattr(minhash, "SIGS", [f"s{i}" for i in range(minhash.LONGS)])
     rng = np.random.default_rng(3)
     for share in (0.0, 0.5, 0.9, 1.0):
         common = rng.integers(0, 2**63, int(2000 * share), dtype=np.uint64)
@@ -74,8 +78,8 @@ def test_similarity_is_corrected_for_collisions(spark):
         sig = minhash.packed(low).view(np.int64)
         row = spark.createDataFrame([tuple(map(int, sig[:, 0])) + tuple(map(int, sig[:, 1]))], ", ".join(f"{x}s{i} long" for x in "ab" for i in range(minhash.LONGS)))
         got = row.select(minhash.similarity("a", "b")).first()[0]
-        agree = np.mean((low[:, 0] & 3) == (low[:, 1] & 3))
-        assert got == pytest.approx((agree - 0.25) / 0.75) and abs(got - truth) < 0.2
+        agree = np.mean((low[:, 0] & (2**bits - 1)) == (low[:, 1] & (2**bits - 1)))
+        assert got == pytest.approx((agree - 2.0**-bits) / (1 - 2.0**-bits)) and abs(got - truth) < (0.35 if bits == 1 else 0.2)
 
 
 def test_thousands_of_copies_and_a_chain(spark):
@@ -114,6 +118,20 @@ def test_near_dedup_awkward(awkward):
     assert minhash.groups(awkward).count() >= 5
 
 
+WORKING = {minhash: ("_mh_key", "_mh_hash", "_mh_text", "_mh_row"), substring: ("_sd_key", "_sd_hash", "_sd_text", "_sd_spots", "_sd_marks", "_sd_level", "_sd_whole", "cuts", "longest_repeat")}
+
+
+@pytest.mark.parametrize(("module", "run"), [(minhash, minhash.near_dedup), (substring, substring.substring_dedup)])
+def test_columns_of_working_names_pass_through(spark, module, run):
+    text = words(1, 200)
+    names = WORKING[module]
+    df = spark.createDataFrame([(i, t, *[5] * len(names)) for i, t in enumerate((text, text, words(2, 200)))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    rows = run(df).collect()
+    assert len(rows) == (2 if module is minhash else 3) and all(list(r)[2 : 2 + len(names)] == [5] * len(names) for r in rows)
+    with pytest.raises(ValueError, match="ids are integers"):
+        run(df.withColumn("doc_id", substring.F.lit("a17")))
+
+
 def brute(rows: list[tuple[int, str]], n: int) -> dict[int, list[str]]:
     """Words left of each document, which have different doc_ids."""
     first, out = {}, {}
