@@ -146,7 +146,7 @@ def proposals(rows: DataFrame) -> dict[str, list[list[float | None]]]:
 def fit(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, id_col: str = "doc_id", label_col: str = "quality") -> dict[str, dict]:
     """Per stratum: cuts (of RULES, or None), rung, families that tested n and rejections, and the exact upper bound on false rejection.
 
-    measured is style.table() with the stratum in k0.
+    measured is style.table() with families and the stratum in k0.
     """
     graded = labels.groupBy(integer(labels, id_col).alias("doc_id")).agg(F.min(F.col(f"`{label_col}`")).cast("int").alias("good")).where("good is not null")
     rows = measured.join(graded, "doc_id").select("doc_id", "family", F.coalesce("k0", F.lit("")).alias("stratum"), "good", *RULES)
@@ -185,7 +185,7 @@ def failed(fitted: dict[str, dict]) -> Column:
 
 def decide(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """(doc_id, stratum, keep, failed, bound) of each row; bound is the stratum's certified share of false rejections, null without rules."""
-    measured = written(table(docs, id_col, text_col, (stratum_col,)), "rules-measured")
+    measured = written(table(docs, id_col, text_col, (stratum_col,), family=True), "rules-measured")
     fitted = fit(measured, labels, alpha, delta)
     bound = F.lit(None).cast("double")
     for s, x in fitted.items():

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .columns import integer
-from .textcore import WHITE, Words, flat, mix, shingles, slices
+from .textcore import WHITE, Words, flat, mix, slices
 
 #: Every share is of words but for symbols, capitals and digits (of characters, of ASCII letters, of characters) and lines.
 NAMES = ("n_words", "word_chars", "symbols", "capitals", "digits", "bare_words", "stop_words", "same_as_last", "repeated_grams", "repeated_lines")
@@ -55,23 +55,35 @@ def _repeats(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.bincount((own[1:][again] >> np.uint64(44)).astype(np.int64), minlength=n).astype(float)
 
 
-def families(words: Words) -> np.ndarray:
-    """The least hash of a text's runs of GRAM words, which copies share and near copies mostly do; 0 without words."""
-    hashes, offsets = shingles(words, GRAM)
+Grams = tuple[np.ndarray, np.ndarray]
+
+
+def grams(words: Words) -> Grams:
+    """Words at which runs of GRAM words begin, and the runs' hashes."""
+    at = words.fits(GRAM)
+    return at, words.windows(at, GRAM, words.sums()) if len(at) else np.zeros(0, np.uint64)
+
+
+def families(words: Words, runs: Grams) -> np.ndarray:
+    """The least hash of a text's runs of GRAM words, which copies share and near copies mostly do; of all words where there are fewer, 0 without words."""
+    at, hashes = runs
     out = np.zeros(words.n, np.uint64)
-    some = np.flatnonzero(np.diff(offsets))
-    if len(some):
-        out[some] = np.minimum.reduceat(hashes, offsets[some])
+    if len(at):
+        begin = np.flatnonzero(np.concatenate(([True], words.doc[at[1:]] != words.doc[at[:-1]])))
+        out[words.doc[at[begin]]] = np.minimum.reduceat(hashes, begin)
+    short = np.flatnonzero((words.counts > 0) & (words.counts < GRAM))
+    out[short] = words.windows(words.first[short], words.counts[short], words.sums())
     return out.view(np.int64)
 
 
 def measure(texts: pa.Array) -> np.ndarray:
     """Texts x NAMES; a null or empty text is all 0."""
     data, offsets = flat(texts)
-    return measures(Words(data, offsets, fold=True))
+    words = Words(data, offsets, fold=True)
+    return measures(words, grams(words))
 
 
-def measures(words: Words) -> np.ndarray:
+def measures(words: Words, runs: Grams) -> np.ndarray:
     """measure() of texts whose words are folded."""
     data, offsets, n = words.data, words.offsets, words.n
     if not _stops:
@@ -88,26 +100,26 @@ def measures(words: Words) -> np.ndarray:
     stop = stops[near] == words.hash
     same = np.zeros(len(words.hash), bool)
     same[1:] = (words.hash[1:] == words.hash[:-1]) & (words.doc[1:] == words.doc[:-1])
-    grams = words.fits(GRAM)
-    gram_hash = words.windows(grams, GRAM, words.sums()) if len(grams) else np.zeros(0, np.uint64)
     lines = Words(data, offsets, white=_LINE)
     per = lambda flags: np.diff(_sums(flags, words.first)) / some
     return np.stack([
         count, np.where(count > 0, solid / some, 0), of(_symbol) / solid, of(_capital) / np.maximum(of(_ascii), 1), of(_digit) / solid, per(bare), per(stop), per(same),
-        _repeats(words.doc[grams], gram_hash, n) / np.maximum(count - GRAM + 1, 1), _repeats(lines.doc, lines.hash, n) / np.maximum(lines.counts, 1),
+        _repeats(words.doc[runs[0]], runs[1], n) / np.maximum(count - GRAM + 1, 1), _repeats(lines.doc, lines.hash, n) / np.maximum(lines.counts, 1),
     ]).T
 
 
-def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, family, the columns of keep as strings k0, k1 ..., and NAMES, for each row."""
+def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), family: bool = False) -> DataFrame:
+    """doc_id, family if asked for, the columns of keep as strings k0, k1 ..., and NAMES, for each row."""
     kept = [f"k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words.of(part.column("text"), fold=True)
-                x = measures(words)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(families(words)), *(part.column(k) for k in kept), *(pa.array(np.ascontiguousarray(c)) for c in x.T)], ["doc_id", "family", *kept, *NAMES])
+                runs = grams(words)
+                x = measures(words, runs)
+                own = [pa.array(families(words, runs))] if family else []
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *own, *(part.column(k) for k in kept), *(pa.array(np.ascontiguousarray(c)) for c in x.T)], ["doc_id", *["family"] * family, *kept, *NAMES])
 
     rows = docs.select(integer(docs, id_col).alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`").cast("string").alias(k) for c, k in zip(keep, kept)])
-    return rows.mapInArrow(run, "doc_id long, family long, " + "".join(f"{k} string, " for k in kept) + ", ".join(f"{c} double" for c in NAMES))
+    return rows.mapInArrow(run, "doc_id long, " + "family long, " * family + "".join(f"{k} string, " for k in kept) + ", ".join(f"{c} double" for c in NAMES))

@@ -82,9 +82,9 @@ def test_cutoffs_equal_brute_force(spark, graded):
     copies = docs.where("doc_id % 4 = 1 and doc_id < 400").select((F.col("doc_id") + 10**6).alias("doc_id"), "text", "lang")
     docs = docs.union(copies)
     labels = labels.union(copies.select("doc_id", F.lit(1)))
-    fitted = rules.fit(style.table(docs, keep=("lang",)), labels)
+    fitted = rules.fit(style.table(docs, keep=("lang",), family=True), labels)
     good = {r.doc_id: r.quality for r in labels.collect()}
-    rows = [r.asDict() | {"good": good[r.doc_id]} for r in style.table(docs, keep=("lang",)).withColumn("part", F.pmod(F.xxhash64("family", F.lit("rules")), F.lit(rules.PARTS))).collect() if r.doc_id in good]
+    rows = [r.asDict() | {"good": good[r.doc_id]} for r in style.table(docs, keep=("lang",), family=True).withColumn("part", F.pmod(F.xxhash64("family", F.lit("rules")), F.lit(rules.PARTS))).collect() if r.doc_id in good]
     by_text = {r.doc_id: r.text for r in docs.collect()}
     parts = {}
     for r in rows:  # copies fall to one part
@@ -103,7 +103,7 @@ def test_cutoffs_equal_brute_force(spark, graded):
         x = fitted[s]
         assert n > 0 and (x["rung"], x["n"], x["rejected"]) == (n, families, counts[n - 1]) and x["bound"] <= rules.ALPHA + 1e-9
         assert [c is None for c in x["cuts"]] == [c is None for c in ladder[n - 1]] and [c for c in x["cuts"] if c is not None] == pytest.approx([c for c in ladder[n - 1] if c is not None])
-    measured = {(r.doc_id, r.k0): r.asDict() for r in style.table(docs, keep=("lang",)).collect()}
+    measured = {(r.doc_id, r.k0): r.asDict() for r in style.table(docs, keep=("lang",), family=True).collect()}
     for r in rules.decide(docs, labels).collect():
         x = measured[r.doc_id, r.stratum]
         assert r.failed == [name for (name, up), c in zip(rules.RULES.items(), fitted[r.stratum]["cuts"]) if c is not None and (x[name] > c if up else x[name] < c)] and r.keep == (not r.failed)
