@@ -80,11 +80,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _ENTRIES = ", ".join(f"('{e}')" for e in urlfilter.BLOCKLIST)
 _URL_SQL = rf"""
-with hosts as (
-  select page_id, url, rtrim(lower(regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?(?:[^/?#@]*@)?([^/:?#\s]*)', 1)), '.') as host from pages
+with parts as (
+  select page_id, url, regexp_extract(url, '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?(?:[^/?#@]*@)?([^/:?#\s]*)(?::[0-9]*)?([^?#\s]*)', ['host', 'path']) as u from pages
+), hosts as (
+  select page_id, url, rtrim(lower(u.host), '.') as host, rtrim(lower(u.host), '.') || rtrim(u.path, '/') as whole from parts
+), list as (
+  select entry, contains(entry, '/') as has_path from (values {_ENTRIES}) as e(entry)
+)
+select page_id, url, entry is not null as blocked, entry from (
+  select page_id, url, (
+    select arg_min(entry, case when has_path then 1000000 else 0 end + length(entry)) from list
+    where host = entry or ends_with(host, '.' || entry) or has_path and (whole = entry or starts_with(whole, entry || '/'))
+  ) as entry from hosts
 )
-select page_id, url, e.entry is not null as blocked, e.entry as entry
-from hosts left join (values {_ENTRIES}) as e(entry) on host = e.entry or ends_with(host, '.' || e.entry)
 """
 
 

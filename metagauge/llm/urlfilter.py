@@ -1,14 +1,15 @@
-"""URL blocklists as a memory-mapped sorted array of 64-bit digests.
+"""URL blocklists as memory-mapped sorted arrays of 64-bit digests.
 
 The list's entries are ``host`` (it and its subdomains) or ``host/path`` (that
-path and what is under it). ``build`` writes their xxhash64 keys in sorted
-order, with the entries themselves, to one file in the shared folder; Spark
-hands the file to executors, which map it into memory. A URL's candidates (its
+path and what is under it). ``build`` range-partitions their xxhash64 keys; each
+task writes its keys in sorted order, with the entries themselves, as one shard
+in the shared folder, and the driver gets the shards' bounds alone. Spark
+hands the files to executors, which map them into memory. A URL's candidates (its
 host, parent domains, and its path's prefixes) are hashed by native columns,
-probed by vectorised binary search, and a hit counts only if the stored entry
+probed by vectorised binary search in the shard of their range, and a hit counts only if the stored entry
 is the candidate, so digest collisions cannot block a URL.
 
-The file is 8 + 8 bytes an entry besides the entries, and pages into memory as
+A shard is 8 + 8 bytes an entry besides the entries, and pages into memory as
 it is probed; nothing is broadcast.
 
 Defined results: null, empty and hostless URLs are not blocked. What stands
@@ -17,25 +18,29 @@ SQL of the query takes it for a scheme). An entry of one label blocks all below
 ports, user names and a trailing dot don't matter; query and fragment neither;
 path case does. A null or blank entry is left out, repeated ones count once.
 Of several entries that block a URL, the one with the shortest host comes
-first, then the shortest path. Extra columns pass through.
+first, then the shortest path. Extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
-import struct
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
+import pyarrow.fs
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import _path, shared_dir
+from .columns import free
+from .scratch import shared_dir
+from .textcore import flat
 
-#: The project's own list.
-BLOCKLIST = tuple(f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org"))
+#: The project's own list, of hosts and of paths on hosts that are not blocked as a whole.
+BLOCKLIST = tuple(f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")) + tuple(
+    f"{host}/{path}" for host in ("blog.tionsh.example.net", "thther.example.org", "www.ththhe.example.com", "m.ththth.example.net", "blog.ththan.example.net") for path in ("en", "de/49", "es/2")
+)
 
 _MAGIC = b"MGDA0001"
 _URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:(?![0-9]+(?:[/?#\s]|$)))?(?://)?(?:[^/?#@]*@)?([^/:?#\s]*)(?::[0-9]*)?([^?#\s]*)"
@@ -60,29 +65,39 @@ def candidates(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(hosts, F.coalesce(paths, F.array().cast("array<string>"))))
 
 
-def build(spark: SparkSession, entries: Iterable[str | None] | DataFrame) -> str:
-    """Name of the index, for ``blocked``. A DataFrame's first column is read, in sorted order and part by part."""
+#: Of each shard its least and greatest key and the name of its file.
+Shards = tuple[tuple[int, int, str], ...]
+
+
+def build(spark: SparkSession, entries: Iterable[str | None] | DataFrame) -> Shards:
+    """The index, for ``blocked``. Of a DataFrame the first column is read."""
     if not isinstance(entries, DataFrame):
         entries = spark.createDataFrame([(e,) for e in entries], "entry string")
     raw = F.trim(F.col(f"`{entries.columns[0]}`").cast("string"))
     entry = F.concat(host(raw), path(raw))
-    rows = entries.select(entry.alias("entry")).where("entry != ''").distinct().select(F.xxhash64("entry").alias("key"), "entry").orderBy("key", "entry")
-    keys, ends, texts = bytearray(), bytearray(), bytearray()
-    n = 0
-    for row in rows.toLocalIterator():
-        keys += struct.pack("<q", row.key)
-        texts += row.entry.encode()
-        ends += struct.pack("<q", len(texts))
-        n += 1
-    name = f"digests-{uuid.uuid4().hex}.bin"
-    at, fs = _path(spark, f"{shared_dir(spark)}/{name}")
-    out = fs.create(at)
-    for piece in (_MAGIC, struct.pack("<q", n), keys, ends, texts):
-        for i in range(0, len(piece), 1 << 20):
-            out.write(bytearray(piece[i : i + (1 << 20)]))
-    out.close()
-    spark.sparkContext.addFile(str(at))
-    return name
+    folder = f"{shared_dir(spark)}/digests-{uuid.uuid4().hex}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        keys = np.concatenate([b.column("key").to_numpy() for b in parts])
+        raw = [flat(b.column("entry")) for b in parts]
+        ends = np.cumsum(np.concatenate([np.diff(at) for _, at in raw]))
+        task = TaskContext.get()
+        name = f"digests-{uuid.uuid4().hex}-{task.partitionId()}.bin"
+        fs, at = pa.fs.FileSystem.from_uri(folder)
+        fs.create_dir(at, recursive=True)
+        with fs.open_output_stream(f"{at}/{name}") as out:
+            for piece in (_MAGIC, np.int64(len(keys)).tobytes(), keys.astype("<i8").tobytes(), ends.astype("<i8").tobytes(), *(d.tobytes() for d, _ in raw)):
+                out.write(piece)
+        yield pa.RecordBatch.from_arrays([pa.array([int(keys[0])]), pa.array([int(keys[-1])]), pa.array([name])], ["least", "greatest", "name"])
+
+    rows = entries.select(entry.alias("entry")).where("entry != ''").distinct().select(F.xxhash64("entry").alias("key"), "entry")
+    shards = rows.repartitionByRange("key").sortWithinPartitions("key", "entry").mapInArrow(write, "least long, greatest long, name string").collect()
+    for s in shards:
+        spark.sparkContext.addFile(f"{folder}/{s.name}")
+    return tuple(sorted(tuple(s) for s in shards))
 
 
 class Index:
@@ -120,18 +135,26 @@ class Index:
 _open: dict[str, Index] = {}
 
 
-def blocked(pages: DataFrame, index: str, url_col: str = "url") -> DataFrame:
+def _shard(name: str) -> Index:
+    if name not in _open:
+        _open[name] = Index(SparkFiles.get(name))
+    return _open[name]
+
+
+def blocked(pages: DataFrame, index: Shards, url_col: str = "url") -> DataFrame:
     """All columns, and blocked and entry (the one that blocks, or null) in place of columns of that name."""
 
     @F.arrow_udf("int")
     def first(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        own = _open.get(index)
-        if own is None:
-            own = _open[index] = Index(SparkFiles.get(index))
-        flat = texts.flatten()
+        flat_texts, flat_keys = texts.flatten(), keys.flatten().to_numpy()
         counts = pa.compute.fill_null(pa.compute.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(texts)), counts)
-        good = own.probe(keys.flatten().to_numpy(), lambda i: flat[i].as_py().encode())
+        good = [np.zeros(0, np.int64)]
+        for least, greatest, name in index:
+            mine = np.flatnonzero((flat_keys >= least) & (flat_keys <= greatest))
+            if len(mine):
+                good.append(mine[_shard(name).probe(flat_keys[mine], lambda i, mine=mine: flat_texts[int(mine[i])].as_py().encode())])
+        good = np.sort(np.concatenate(good))
         out = np.full(len(texts), -1, np.int32)
         begin = np.cumsum(counts) - counts
         rows, at = np.unique(row[good], return_index=True)
@@ -139,6 +162,7 @@ def blocked(pages: DataFrame, index: str, url_col: str = "url") -> DataFrame:
         return pa.array(out)
 
     names = [c for c in pages.columns if c not in ("blocked", "entry")]
-    rows = pages.withColumn("_uf_all", candidates(F.col(f"`{url_col}`"))).withColumn("_uf_keys", F.transform("_uf_all", lambda x: F.xxhash64(x)))
-    rows = rows.withColumn("_uf_at", first("_uf_all", "_uf_keys"))
-    return rows.select(*[f"`{c}`" for c in names], (F.col("_uf_at") >= 0).alias("blocked"), F.when(F.col("_uf_at") >= 0, F.get("_uf_all", "_uf_at")).alias("entry"))
+    every, keys, at = (free(pages, f"_uf_{x}") for x in ("all", "keys", "at"))
+    rows = pages.withColumn(every, candidates(F.col(f"`{url_col}`"))).withColumn(keys, F.transform(every, lambda x: F.xxhash64(x)))
+    rows = rows.withColumn(at, first(every, keys))
+    return rows.select(*[f"`{c}`" for c in names], (F.col(at) >= 0).alias("blocked"), F.when(F.col(at) >= 0, F.get(every, at)).alias("entry"))

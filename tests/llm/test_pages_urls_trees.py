@@ -122,13 +122,26 @@ def test_one_label_equals_sql(spark, duck):
     assert sum(b for b, _ in got.values()) == 7
 
 
-def test_large_list_equals_a_set(spark):
+@pytest.mark.parametrize("shards", [1, 7])
+def test_large_list_equals_a_set(spark, shards):
+    """Also with an index of several shards; rows that repeat and very long URLs."""
     rng = random.Random(2)
     hosts = [f"h{rng.randrange(40_000)}.example.com" for _ in range(20_000)]
-    index = urlfilter.build(spark, spark.createDataFrame([(h,) for h in hosts], "h string"))
-    urls = spark.range(40_000).select(F.concat(F.lit("http://h"), "id", F.lit(".example.com/x")).alias("url"), "id")
-    got = {r.id for r in urlfilter.blocked(urls, index).where("blocked").collect()}
-    assert got == {int(h[1:].split(".")[0]) for h in hosts}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(shards == 1).lower())
+    try:
+        index = urlfilter.build(spark, spark.createDataFrame([(h,) for h in hosts], "h string"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(index) >= shards
+    urls = spark.range(40_000).select(F.concat(F.lit("http://h"), "id", F.lit(".example.com/x"), F.when(F.col("id") % 1000 == 0, F.repeat(F.lit("/long"), 4000)).otherwise("")).alias("url"), "id")
+    got = [r.id for r in urlfilter.blocked(urls.union(urls.where("id < 50")), index).where("blocked").collect()]
+    want = {int(h[1:].split(".")[0]) for h in hosts}
+    assert sorted(got) == sorted([*want, *(i for i in want if i < 50)])
+
+
+def test_working_names_pass_through(spark):
+    df = spark.createDataFrame([("http://bad.example.com", 5, 6, 7)], "url string, _uf_all int, _uf_keys int, _uf_at int")
+    assert [tuple(r) for r in urlfilter.blocked(df, urlfilter.build(spark, ["bad.example.com"])).collect()] == [("http://bad.example.com", 5, 6, 7, True, "bad.example.com")]
 
 
 def test_collisions_do_not_block(tmp_path):
