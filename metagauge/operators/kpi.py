@@ -111,8 +111,14 @@ def fulfilment_summary(scores: DataFrame, level: str, exclude: Iterable[str] = (
     gives a row of 0; pass its name in exclude to leave it out.
     """
     names = [c for c in scores.columns if c not in set(exclude)]
-    number = lambda c: F.coalesce(col(c).cast("string").try_cast("double"), F.lit(0.0))
-    whole = lambda c: F.when(F.isnan(number(c)), 0.0).otherwise(number(c)).cast("long")
+    kinds = dict(scores.dtypes)
+
+    def whole(c: str) -> Column:
+        if kinds[c] in ("tinyint", "smallint", "int", "bigint"):
+            return F.coalesce(col(c), F.lit(0))
+        number = F.coalesce(col(c).cast("string").try_cast("double"), F.lit(0.0))
+        return F.when(F.isnan(number), 0.0).otherwise(number).cast("long")
+
     sums = scores.agg(F.count(F.lit(1)).alias("_n"), *[F.coalesce(F.sum(whole(c)), F.lit(0)).alias(f"_{i}") for i, c in enumerate(names)])
     percent = lambda i: F.coalesce(F.bround(F.try_divide(100.0 * F.col(f"_{i}"), F.col("_n")), 1), F.lit(0.0))
     rows = [F.struct(F.lit(level).alias("Type"), F.lit(c).alias("KPI"), F.col(f"_{i}").alias("Fulfilled"), F.col("_n").alias("Total"), percent(i).alias("Percent")) for i, c in enumerate(names)]

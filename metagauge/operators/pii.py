@@ -82,30 +82,56 @@ def _chosen(recognizers: Iterable[Recognizer | ModelRecognizer], entities: Itera
 
 
 def _model(r: ModelRecognizer, keep: set[str]) -> Callable[[Column], Column]:
-    @F.pandas_udf(SPANS)
-    def model(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """struct<spans, error>. If the model fails on a batch, its texts are tried one by one, and a text on which it fails has no spans but an error."""
+
+    def found(text: str, own: Iterable[tuple[str, int, int]]) -> list[dict]:
+        return [{"entity": e, "score": r.score, "start": a, "end": b, "matched_text": text[a:b]} for e, a, b in own if e in keep]
+
+    def one(text: str) -> tuple[list[dict], str | None]:
+        try:
+            return found(text, next(iter(r.spans(pd.Series([text]))))), None
+        except Exception as e:  # a text's failure is its result
+            return [], f"{type(e).__name__}: {e}"
+
+    @F.pandas_udf(f"struct<spans:{SPANS},error:string>")
+    def model(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             plain = texts.fillna("")
-            rows = [[{"entity": e, "score": r.score, "start": a, "end": b, "matched_text": t[a:b]} for e, a, b in own if e in keep] for t, own in zip(plain, r.spans(plain))]
-            yield pd.Series(rows, index=texts.index)
+            try:
+                rows = [(found(t, own), None) for t, own in zip(plain, r.spans(plain), strict=True)]
+            except Exception:
+                rows = [one(t) for t in plain]
+            yield pd.DataFrame(rows, columns=["spans", "error"], index=texts.index)
 
     return model
 
 
-def spans(df: DataFrame, text_col: str = "text", recognizers: Iterable[Recognizer | ModelRecognizer] = DEFAULT, entities: Iterable[str] | None = None, out_col: str = "spans") -> DataFrame:
-    """All columns and out_col: the spans of the text, by start, end and entity. A null text has none."""
+def spans(
+    df: DataFrame, text_col: str = "text", recognizers: Iterable[Recognizer | ModelRecognizer] = DEFAULT, entities: Iterable[str] | None = None, out_col: str = "spans", error_col: str | None = None
+) -> DataFrame:
+    """All columns and out_col: the spans of the text, by start, end and entity. A null text has none.
+
+    Where a model fails on a text, its spans are missing and the others' stay; error_col, if given, says why (null where none failed).
+    """
     wanted = None if entities is None else set(entities)
     text = col(text_col).cast("string")
     found: list[Column] = []
+    models: list[str] = []
     for r in _chosen(recognizers, entities):
         if isinstance(r, Recognizer):
             found.append(match_spans(text, r))
         else:
-            found.append(_model(r, set(r.entities) if wanted is None else wanted & set(r.entities))(text))
+            models.append(f"_model_{len(models)}_{out_col}")
+            df = df.withColumn(models[-1], _model(r, set(r.entities) if wanted is None else wanted & set(r.entities))(text))
+            found.append(col(models[-1])["spans"])
     every = F.concat(*[F.coalesce(f, F.array().cast(SPANS)) for f in found]) if found else F.array().cast(SPANS)
     order = F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"), s["score"].alias("score"), s["matched_text"].alias("matched_text")))
     back = F.transform(F.array_sort(order), lambda s: F.struct(s["entity"].alias("entity"), s["score"].alias("score"), s["start"].alias("start"), s["end"].alias("end"), s["matched_text"].alias("matched_text")))
-    return df.withColumn(out_col, back)
+    out = df.withColumn(out_col, back)
+    if error_col:
+        errors = F.array_compact(F.array(*[col(m)["error"] for m in models])) if models else F.array().cast("array<string>")
+        out = out.withColumn(error_col, F.when(F.size(errors) > 0, F.array_join(errors, "; ")))
+    return out.drop(*models)
 
 
 def analyze(df: DataFrame, text_col: str = "text", recognizers: Iterable[Recognizer | ModelRecognizer] = DEFAULT, entities: Iterable[str] | None = None, keep: Iterable[str] = ()) -> DataFrame:
@@ -114,6 +140,12 @@ def analyze(df: DataFrame, text_col: str = "text", recognizers: Iterable[Recogni
     return spans(rows, "text", recognizers, entities, "_spans").select(*[col(k) for k in keep], "text", F.inline("_spans"))
 
 
+def failures(df: DataFrame, text_col: str = "text", recognizers: Iterable[Recognizer | ModelRecognizer] = DEFAULT, entities: Iterable[str] | None = None, keep: Iterable[str] = ()) -> DataFrame:
+    """(keep ..., text, error): texts on which a model fails, which analyze() gives the other recognizers' spans of."""
+    rows = df.where(col(text_col).isNotNull()).select(*[col(k) for k in keep], col(text_col).cast("string").alias("text"))
+    return spans(rows, "text", recognizers, entities, "_spans", "error").where("error is not null").drop("_spans")
+
+
 def entity_counts(found: DataFrame) -> DataFrame:
     """(entity, count), most frequent first, ties by entity."""
     return found.groupBy("entity").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "entity")

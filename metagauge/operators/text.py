@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,16 +107,18 @@ class RuleTokenizer:
     def with_infix(self, infix: str | None) -> RuleTokenizer:
         return RuleTokenizer(self.prefix, self.suffix, infix, self.url, self.cases)
 
-    def explain(self, text: str) -> list[tuple[str, str]]:
-        """(rule, token) pairs in order."""
+    def pieces(self) -> Callable[[str], list[tuple[str, str]]]:
+        """A function from a piece without white space to its (rule, token) pairs."""
         compiled = lambda p, form: re.compile(form.format(p)) if p else None
         prefix, suffix, infix, url = compiled(self.prefix, "^(?:{})"), compiled(self.suffix, "(?:{})$"), compiled(self.infix, "{}"), compiled(self.url, "^(?:{})")
-        out: list[tuple[str, str]] = []
-        for piece in text.split():
+        cases = {k: [(f"SPECIAL-{i}", t) for i, t in enumerate(v, 1)] for k, v in self.cases.items()}
+
+        def split(piece: str) -> list[tuple[str, str]]:
+            out: list[tuple[str, str]] = []
             ends: list[tuple[str, str]] = []
             while piece:
-                if piece in self.cases:
-                    out += [(f"SPECIAL-{i}", t) for i, t in enumerate(self.cases[piece], 1)]
+                if piece in cases:
+                    out += cases[piece]
                     piece = ""
                 elif url and url.match(piece):
                     out.append(("URL_MATCH", piece))
@@ -137,20 +141,75 @@ class RuleTokenizer:
                     if at < len(piece):
                         out.append(("TOKEN", piece[at:]))
                     piece = ""
-            out += ends[::-1]
-        return out
+            return out + ends[::-1]
+
+        return split
+
+    def explain(self, text: str) -> list[tuple[str, str]]:
+        """(rule, token) pairs in order."""
+        split = self.pieces()
+        return [pair for piece in text.split() for pair in split(piece)]
 
 
 #: Splits on signs between letters and digits but leaves hyphens inside words.
 KEEP_HYPHENS = r"(?<=\d)[+\-*^](?=[\d-])|(?<=[a-z\"'])\.(?=[A-Z\"'])|(?<=[^\W\d_]),(?=[^\W\d_])|(?<=[^\W_])[:<>=/](?=[^\W\d_])|\.\.+|…"
 
 
+#: Bytes of texts that are split at a time, and pieces that a task remembers: for memory; results don't depend on them.
+_SLICE, _KNOWN = 2_000_000, 500_000
+
+
+class _Pieces:
+    """Splits each distinct piece once and puts lists together by gathering from a pool. split gives a piece's rows, tuples of strings."""
+
+    def __init__(self, split: Callable[[str], list[tuple[str, ...]]], fields: tuple[str, ...]):
+        self.split, self.fields = split, fields
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.pool: list[tuple[str, ...]] = []
+        self.start, self.arrays = [0], None
+
+    def lists(self, pieces: list[list[str] | None]) -> pa.Array:
+        """For each list of pieces the rows of all of them; null for None."""
+        flat = [x for own in pieces if own for x in own]
+        missing = [x for x in dict.fromkeys(flat) if x not in self.known]
+        for x in missing:
+            self.known[x] = len(self.known)
+            self.pool += self.split(x)
+            self.start.append(len(self.pool))
+        if missing or self.arrays is None:
+            self.arrays = [pa.array([r[i] for r in self.pool], pa.string()) for i in range(len(self.fields))]
+        which = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        start = np.array(self.start)
+        sizes = np.diff(start)[which]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        rows = pa.array(np.repeat(start[which] - ends[:-1], sizes) + np.arange(ends[-1]))
+        values = [a.take(rows) for a in self.arrays]
+        counts = np.fromiter((len(own or ()) for own in pieces), np.int64, len(pieces))
+        offsets = ends[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
+        null = np.fromiter((own is None for own in pieces), bool, len(pieces))
+        if len(self.known) > _KNOWN:
+            self.clear()
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, list(self.fields)) if len(self.fields) > 1 else values[0], mask=pa.array(null) if null.any() else None)
+
+
+def _slices(texts: pa.Array) -> Iterator[list]:
+    """Values of an Arrow array, some bytes at a time."""
+    step = max(1, len(texts) * _SLICE // max(1, texts.nbytes))
+    for i in range(0, max(1, len(texts)), step):
+        yield texts.slice(i, step).to_pylist()
+
+
 def rule_tokens(df: DataFrame, tokenizer: RuleTokenizer, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
     """out_col: array of (rule, token) of each text, in Arrow batches; null for null."""
 
-    @F.pandas_udf("array<struct<rule:string,token:string>>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None or t != t else [{"rule": r, "token": w} for r, w in tokenizer.explain(t)])
+    @F.arrow_udf("array<struct<rule:string,token:string>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = _Pieces(tokenizer.pieces(), ("rule", "token"))
+        for texts in batches:
+            yield pa.concat_arrays([own.lists([None if t is None else t.split() for t in part]) for part in _slices(texts)])
 
     return df.withColumn(out_col, run(col(text_col).cast("string")))
 
@@ -158,23 +217,26 @@ def rule_tokens(df: DataFrame, tokenizer: RuleTokenizer, text_col: str = "text",
 def wordpieces(df: DataFrame, vocabulary: Iterable[str], text_col: str = "text", out_col: str = "pieces", unknown: str = "[UNK]", fold: bool = True) -> DataFrame:
     """out_col: greedy longest-match pieces of each word, with ## inside words."""
     known = frozenset(vocabulary)
+    longest = max(map(len, known), default=0)
 
-    def split(word: str) -> list[str]:
+    def split(word: str) -> list[tuple[str]]:
         out, at = [], 0
         while at < len(word):
-            for to in range(len(word), at, -1):
+            for to in range(min(len(word), at + longest), at, -1):
                 piece = ("##" if at else "") + word[at:to]
                 if piece in known:
-                    out.append(piece)
+                    out.append((piece,))
                     at = to
                     break
             else:
-                return [unknown]
+                return [(unknown,)]
         return out
 
-    @F.pandas_udf("array<string>")
-    def run(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda ws: None if ws is None else [p for w in ws for p in split(w)])
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = _Pieces(split, ("piece",))
+        for lists in batches:
+            yield pa.concat_arrays([own.lists(part) for part in _slices(lists)])
 
     text = col(text_col).cast("string")
     return df.withColumn(out_col, run(words(F.lower(text) if fold else text)))

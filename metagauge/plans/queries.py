@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,7 @@ def _letters(spark, sf_dir):
     return derived(spark, sf_dir, LETTERS, "customer")
 
 
-# ---- indicators -------------------------------------------------------------
+# Indicators.
 
 _NB = "coalesce(trim({0}) <> '', false)"
 _nb = lambda c: _NB.format(f'"{c}"')
@@ -163,7 +164,7 @@ def multilingual(spark, sf_dir):
     return _table(spark, sf_dir, "documents").groupBy("lang").agg(F.avg(expr.flag(expr.non_ascii(F.col("text")))).alias("share"), F.count(F.lit(1)).alias("n"))
 
 
-# ---- mapping ------------------------------------------------------------------
+# Mapping.
 
 _M = f"with m as ({duck(MAPPINGS)})"
 _KIND = {"exact": "contains(lower(mapping_type), 'exact')", "partial": "regexp_matches(lower(mapping_type), 'partial|closest')", "unmapped": "regexp_matches(lower(mapping_type), 'no match|no direct')"}
@@ -176,6 +177,14 @@ _PROPOSED = f"""{_M}, p as (
 _LISTS = f"{_PROPOSED}, l as (select level, coalesce(list(distinct f) filter (where std = 'DCAT v3'), []) as dcat, coalesce(list(distinct f) filter (where std = 'Dublin Core'), []) as dublin from p group by 1)"
 
 
+@_query(f"{_M} select * from m where mapping_type is not null")
+def mapping_sheets(spark, sf_dir):
+    """One sheet for each level with headings as workbooks have them, united to one table."""
+    table = _mappings(spark, sf_dir)
+    heads = {"source_field": "Equivalent own metadata", "dcat_field": "DCAT v3 mapping", "dc_field": "Dublin Core Element", "mapping_type": "Mapping Type", "action": "Action for own schema"}
+    return mapping.sheets({x: table.where(F.col("level") == x).drop("level").withColumnsRenamed(heads) for x in mapping.LEVELS})
+
+
 @_query(f"{_COUNTS} select * from k")
 def mapping_counts(spark, sf_dir):
     return mapping.bucket_counts(_mappings(spark, sf_dir))
@@ -221,7 +230,7 @@ def dup_stats(spark, sf_dir):
     return mapping.duplicates(_mappings(spark, sf_dir))
 
 
-# ---- projections ----------------------------------------------------------------
+# Projections.
 
 
 @_query(f'with r as ({duck(RESOURCES)}) select datafile as "dcat:downloadURL", datafile_url as "dcat:endpointURL", file_format as "dcat:mediaType", cast(null as varchar) as "dcat:ByteSize", cast(null as varchar) as "dcat:endpointDescription", cast(null as varchar) as "dcat:landingpage", cast(null as varchar) as "dcterms:title" from r')
@@ -235,7 +244,7 @@ def to_dublin_core(spark, sf_dir):
     return transform.to_dublin_core(rows)
 
 
-# ---- personal data ----------------------------------------------------------------
+# Personal data.
 
 _PATTERNS = {"AADHAAR_NUMBER": r"\b\d{4}[ -]?\d{4}[ -]?\d{4}\b", "PAN_CARD": r"\b[A-Z]{5}[0-9]{4}[A-Z]\b", "INDIAN_PHONE_NUMBER": r"\b[6-9]\d{9}\b"}
 _MATCHES = " union all ".join(f"select id, text, '{e}' as entity, unnest(regexp_extract_all(text, '{p}')) as m from t where text is not null" for e, p in _PATTERNS.items())
@@ -286,7 +295,7 @@ def pii_model_recognizer(spark, sf_dir):
     return pii.analyze(rows, recognizers=[pii.gazetteer(names)], keep=["id"]).drop("text")
 
 
-# ---- text ---------------------------------------------------------------------------
+# Text.
 
 _WS = "list_transform(string_split(text, ' '), lambda x: case when x = '' then ' ' else x end)"
 
@@ -326,12 +335,49 @@ def special_case_tokens(spark, sf_dir):
     return _table(spark, sf_dir, "benchmark").select("item_id", text.special_cases(F.split("text", " ", -1), {"the": ["t", "he"]}).alias("tokens"))
 
 
-@_query()
+_WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_ENDS = r"""[.,;!?)\]"'']"""
+_PAIR = "{{'rule': {0}, 'token': {1}}}".format
+_MANY = lambda c, rule: f"list_transform({c}, lambda y: {_PAIR(rule, 'y')})"
+#: Of a piece the run of prefixes, and of what follows it a whole URL, a special case before suffixes, or what stands between infixes before suffixes.
+_RULES_SQL = rf"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(text, '{_WHITE}'), lambda x: x <> '') as pieces from documents
+), p as (
+  select doc_id, list_transform(pieces, lambda x: {{'pre': regexp_extract(x, '^[\[("'']*'), 'rest': regexp_replace(x, '^[\[("'']*', '')}}) as pieces from w
+), t as (
+  select doc_id, flatten(list_transform(pieces, lambda x: list_concat(
+    {_MANY("regexp_extract_all(x.pre, '.')", "'PREFIX'")},
+    case when regexp_matches(x.rest, '^https?://') then [{_PAIR("'URL_MATCH'", 'x.rest')}]
+      when regexp_matches(x.rest, '^:\){_ENDS}*$') then list_concat([{_PAIR("'SPECIAL-1'", "':)'")}], {_MANY("regexp_extract_all(substr(x.rest, 3), '.')", "'SUFFIX'")})
+      else list_concat({_MANY(f"regexp_extract_all(regexp_replace(x.rest, '{_ENDS}*$', ''), '[-~]|[^-~]+')", "case when y in ('-', '~') then 'INFIX' else 'TOKEN' end")}, {_MANY(f"regexp_extract_all(regexp_extract(x.rest, '{_ENDS}*$'), '.')", "'SUFFIX'")}) end
+  ))) as t from p
+)
+select doc_id, list_transform(t, lambda x: x.rule) as rules, list_transform(t, lambda x: x.token) as tokens from t
+"""
+
+
+@_query(_RULES_SQL)
 def rule_tokens(spark, sf_dir):
-    return text.rule_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), text.RuleTokenizer().with_suffixes(r"[.,;!?]", r"[)\]\"']")).select("doc_id", "tokens")
+    rows = text.rule_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), text.RuleTokenizer().with_suffixes(r"[.,;!?]", r"[)\]\"']"), out_col="t")
+    return rows.select("doc_id", F.col("t.rule").alias("rules"), F.col("t.token").alias("tokens"))
+
+
+@_query("with w as (select item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_\\p{M}]+|[^\\p{L}\\p{N}_\\p{M}\\s]')) as w from benchmark) select item_id, w as word, case when w in ('the', 'of', 'and') then w else '[UNK]' end as piece, count(*) as n from w group by all")
+def wordpiece_counts(spark, sf_dir):
+    """With a vocabulary of three words."""
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", F.explode(text.words(F.lower("text"))).alias("word"))
+    return text.wordpieces(rows, ["the", "of", "and"], "word").groupBy("item_id", "word", F.col("pieces")[0].alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("select item_id, [length(text)] as lengths, ['chars'] as labels from benchmark")
+def annotations(spark, sf_dir):
+    """With a model that gives each text one annotation, its length."""
+    rows = text.annotate(_table(spark, sf_dir, "benchmark"), lambda texts: ([{"n": len(t), "label": "chars"}] for t in texts), "n bigint, label string")
+    return rows.select("item_id", F.col("annotations.n").alias("lengths"), F.col("annotations.label").alias("labels"))
 
 
-# ---- links -------------------------------------------------------------------------
+# Links.
 
 _SCHEME = "case when starts_with(url, 'https://') then '200' when starts_with(url, 'http://') then '500' else 'Error: no scheme' end"
 
@@ -359,11 +405,31 @@ def url_filename(spark, sf_dir):
 @_query("select page_id as index, 'downloaded' as status, strlen(url) as bytes from pages")
 def link_download(spark, sf_dir):
     """With a client that gives the address itself; files go to the shared folder."""
-    folder = files.shared_folder(spark).removeprefix("file://") + "/downloads"
+    folder = f"{files.shared_folder(spark)}/downloads-{uuid.uuid4().hex}"
     return links.download(_table(spark, sf_dir, "pages"), "url", "page_id", folder, lambda url: [url.encode()]).select("index", "status", "bytes")
 
 
-# ---- basics -------------------------------------------------------------------------
+@_query("select p_partkey, p_name from part order by p_partkey limit 1")
+def first_row(spark, sf_dir):
+    row = relational.first_row(_table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
+    return spark.createDataFrame([(row["p_partkey"], row["p_name"])] if row else [], "p_partkey long, p_name string")
+
+
+@_query("select p_partkey, p_size, p_retailprice from part")
+def numeric_columns(spark, sf_dir):
+    part = _table(spark, sf_dir, "part")
+    return part.select(*relational.numeric_columns(part))
+
+
+@_query("select cast(s_suppkey as bigint) as s_suppkey, s_name, cast(s_nationkey as bigint) as s_nationkey, cast(s_acctbal as double) as s_acctbal from supplier")
+def csv_inferred(spark, sf_dir):
+    """Written as CSV, and read with the types that its values have."""
+    path = f"{files.shared_folder(spark)}/supplier-csv-{uuid.uuid4().hex}"
+    files.write_csv(_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"), path)
+    return files.read_csv(spark, path, infer=True)
+
+
+# Basics.
 
 
 @_query("select c_mktsegment as value, count(*) as n from customer group by 1")
@@ -415,22 +481,28 @@ def to_int(spark, sf_dir):
 @_query("select cast(n_nationkey as varchar) as n_nationkey, n_name, cast(n_regionkey as varchar) as n_regionkey from nation")
 def select_star(spark, sf_dir):
     """Written as CSV, and read in place by SQL."""
-    path = f"{files.shared_folder(spark)}/nation-csv"
+    path = f"{files.shared_folder(spark)}/nation-csv-{uuid.uuid4().hex}"
     files.write_csv(_table(spark, sf_dir, "nation"), path)
     return files.sql_over_csv(spark, path)
 
 
-# ---- streams ------------------------------------------------------------------------
+# Streams.
 
 
 def _drained(stream: DataFrame, name: str, mode: str) -> DataFrame:
+    """All that a stream gives of what is there now. Results go to files: those that are final once, complete ones anew with each batch."""
     spark = stream.sparkSession
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).start()
-    try:
-        query.processAllAvailable()
-    finally:
-        query.stop()
-    return spark.table(name)
+    folder = f"{files.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    if mode == "append":
+        writer.format("parquet").start(f"{folder}/rows").awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+    def keep(rows: DataFrame, _: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows")
+
+    writer.foreachBatch(keep).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
 @_query(f"{_R_SQL} select *, {_R_SUM} as TotalScore from f")

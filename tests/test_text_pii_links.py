@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import re
+import threading
+import time
+from datetime import datetime
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,8 +116,8 @@ def test_csv_reader(spark, tmp_path):
 
 def test_csv_writer_and_sql(spark, tmp_path):
     df = spark.createDataFrame([("Catalog", 1)], "level string, n int")
-    files.write_csv(df, str(tmp_path / "o"), index="level")
-    assert next((tmp_path / "o").glob("*.csv")).read_text().splitlines()[-1] == "Catalog,1"
+    files.write_csv(df, str(tmp_path / "o"), index="level", single=True)
+    assert next((tmp_path / "o").glob("*.csv")).read_text().splitlines() == [",n", "Catalog,1"]
     files.write_csv(df, str(tmp_path / "p"))
     assert files.sql_over_csv(spark, str(tmp_path / "p"), "select level, n + 1 as m from {source}").first().m == 2
 
@@ -124,6 +129,194 @@ def test_relational(spark):
     assert relational.numeric_columns(relational.to_int(df, "v")) == ["v"]
 
 
+def test_first_row_and_literal_texts(spark):
+    df = files.texts(spark, ["b", None, "a"])
+    assert relational.first_row(df.where("text is not null"), "text") == {"text": "a"} and relational.first_row(df.limit(0), "text") is None
+    assert [r.text for r in df.collect()] == ["b", None, "a"]
+
+
+def test_inferred_types(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b,c,d,e,f\n1,1.5,x,NA,007,1\n-2,3e2,2,,8,99999999999999999999\nNULL, 4 ,,n/a,9,2\n")
+    df = files.read_csv(spark, str(tmp_path / "x.csv"), infer=True)
+    assert df.dtypes == [("a", "bigint"), ("b", "double"), ("c", "string"), ("d", "string"), ("e", "bigint"), ("f", "double")]
+    assert [tuple(r) for r in df.select("a", "b", "c", "d", "e").collect()] == [(1, 1.5, "x", None, 7), (-2, 300.0, "2", None, 8), (None, 4.0, None, None, 9)]
+    assert files.read_csv(spark, str(tmp_path / "x.csv")).dtypes == [(c, "string") for c in "abcdef"]
+
+
+def test_sheets_of_a_folder(spark, tmp_path):
+    (tmp_path / "Catalog.csv").write_text("Equivalent own Metadata,DCAT v3 Mapping,Dublin Core Element,Mapping Type,Notes/Action\ntitle,dct:title,dc:title,Exact,keep\nnote,,,,\n")
+    (tmp_path / "Dataset.csv").write_text("Equivalent own Metadata,DCAT v3 Mapping,Dublin Core Element,Mapping Type\n,dcat:theme,NA,No match\n")
+    table = mapping.sheets(files.read_sheets(spark, str(tmp_path), ["Catalog", "Dataset"]))
+    assert sorted((tuple(r) for r in table.collect()), key=repr) == [("Catalog", "title", "dct:title", "dc:title", "Exact", "keep"), ("Dataset", None, "dcat:theme", None, "No match", None)]
+    assert [(r["Metadata Level"], r["Standard Field"]) for r in mapping.proposed_fields(table).collect()] == [("Dataset", "dcat:theme")]
+    with pytest.raises(KeyError):
+        mapping.sheet(files.texts(spark, ["x"]), "Catalog")
+
+
+def test_logs(spark, tmp_path):
+    df = spark.createDataFrame([("200", 3), ("Error: no", 5), ("404", 3)], "status string, count long")
+    files.write_link_log(df, str(tmp_path / "links.log"), datetime(2024, 1, 2, 3, 4, 5))
+    files.write_link_log(df.where("count = 5"), str(tmp_path / "again.log"), datetime(2024, 1, 2, 3, 4, 5))
+    head = ["Link Statistics Log", "Generated on: 2024-01-02 03:04:05", "", "HTTP Response Code Counts:"]
+    assert (tmp_path / "links.log").read_text().splitlines() == [*head, "- Error: no: 5", "- 200: 3", "- 404: 3"]
+    assert (tmp_path / "again.log").read_text().splitlines() == [*head, "- Error: no: 5"]
+    lists = spark.createDataFrame([("Catalog", ["dcat:a", "dcat:b"], [])], "level string, dcat array<string>, dublin array<string>")
+    counts = spark.createDataFrame([("Catalog", 1, 2, 3, 6)], "level string, exact long, partial long, unmapped long, total long")
+    for _ in range(2):
+        files.append_mapping_log(lists, counts, mapping.effort_score(counts), str(tmp_path / "map.log"))
+    one = ["### Proposed New Fields", "", "#### DCAT v3", "- Catalog (2): dcat:a, dcat:b", "", "#### Dublin Core", "- Catalog (0): None", "", "### Transformation Stats", "", "- Catalog: Exact=1, Partial=2, Unmapped=3, Total=6", "", "- TES Catalog: 1.83", ""]
+    assert (tmp_path / "map.log").read_text() == ("\n".join(one) + "\n") * 2
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    given = files.shared_folder(spark)
+    assert given == spark.conf.get("spark.checkpoint.dir")
+
+    class Other:
+        conf = SimpleNamespace(get=lambda *_: None)
+        sparkContext = SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[2,1,1024]", applicationId="x")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        files.shared_folder(Other)
+    Other.sparkContext.master = "local[4]"
+    assert files.shared_folder(Other).startswith("file://")
+    Other.sparkContext.getCheckpointDir = lambda: "hdfs://x/y/"
+    assert files.shared_folder(Other) == "hdfs://x/y"
+
+
+def test_a_failing_model_costs_its_own_spans_alone(spark):
+    def spans(texts):
+        for t in texts:
+            if "boom" in t:
+                raise ValueError("no " + t)
+            yield [("GPE", t.index("Delhi"), t.index("Delhi") + 5)] if "Delhi" in t else []
+
+    own = [*pii.DEFAULT, pii.ModelRecognizer(spans)]
+    df = spark.createDataFrame([(1, "in Delhi 9783025207"), (2, "boom Delhi 9783025207"), (3, None), (4, "Delhi")], "id int, text string").coalesce(1)
+    got = sorted((r.id, r.entity, r.start) for r in pii.analyze(df, recognizers=own, keep=["id"]).collect())
+    assert got == [(1, "GPE", 3), (1, "INDIAN_PHONE_NUMBER", 9), (2, "INDIAN_PHONE_NUMBER", 11), (4, "GPE", 0)]
+    assert [tuple(r) for r in pii.failures(df, recognizers=own, keep=["id"]).collect()] == [(2, "boom Delhi 9783025207", "ValueError: no boom Delhi 9783025207")]
+    assert pii.failures(df, keep=["id"]).count() == 0
+    assert {r.id: r.anonymized for r in pii.anonymize(df, recognizers=own).collect()}[2] == "boom Delhi <INDIAN_PHONE_NUMBER>"
+
+
+def test_overlapping_spans_are_redacted_once(spark):
+    own = [pii.Recognizer("A", "ab"), pii.Recognizer("B", "abc"), pii.Recognizer("C", "cd", score=0.5), pii.Recognizer("D", "abc", score=0.95)]
+    assert pii.anonymize(spark.createDataFrame([("xabcd abd",)], "text string"), recognizers=own).first().anonymized == "x<D>d <A>d"
+
+
+TOKENIZER = text.RuleTokenizer()
+
+
+@pytest.mark.parametrize(
+    ("tokenizer", "s", "want"),
+    [
+        (TOKENIZER, "hello-world. :)", [("TOKEN", "hello"), ("INFIX", "-"), ("TOKEN", "world."), ("SPECIAL-1", ":)")]),
+        (TOKENIZER, '("a~b', [("PREFIX", "("), ("PREFIX", '"'), ("TOKEN", "a"), ("INFIX", "~"), ("TOKEN", "b")]),
+        (TOKENIZER, "[https://x.y/a-b) -", [("PREFIX", "["), ("URL_MATCH", "https://x.y/a-b)"), ("INFIX", "-")]),
+        (TOKENIZER, " \t\n", []),
+        (TOKENIZER.with_suffixes(r"[.,]", r"\)"), "(end.), :),", [("PREFIX", "("), ("TOKEN", "end"), ("SUFFIX", "."), ("SUFFIX", ")"), ("SUFFIX", ","), ("SPECIAL-1", ":)"), ("SUFFIX", ",")]),
+        (TOKENIZER.with_suffixes(r"[.,]", r"\)").without_suffix(r"\)"), "end). x.", [("TOKEN", "end)"), ("SUFFIX", "."), ("TOKEN", "x"), ("SUFFIX", ".")]),
+        (TOKENIZER.with_suffixes(r"-+"), "wait--", [("TOKEN", "wait"), ("SUFFIX", "--")]),
+        (TOKENIZER.with_infix(text.KEEP_HYPHENS), "mother-in-law a,b 3*4 x=y wait...what", [("TOKEN", "mother-in-law"), ("TOKEN", "a"), ("INFIX", ","), ("TOKEN", "b"), ("TOKEN", "3"), ("INFIX", "*"), ("TOKEN", "4"), ("TOKEN", "x"), ("INFIX", "="), ("TOKEN", "y"), ("TOKEN", "wait"), ("INFIX", "..."), ("TOKEN", "what")]),
+        (TOKENIZER.with_infix(None), "a-b", [("TOKEN", "a-b")]),
+        (text.RuleTokenizer(cases={"gimme": ("gim", "me")}), "(gimme gimme!", [("PREFIX", "("), ("SPECIAL-1", "gim"), ("SPECIAL-2", "me"), ("TOKEN", "gimme!")]),
+    ],
+)
+def test_explain(tokenizer, s, want):
+    assert tokenizer.explain(s) == want
+
+
+def test_rule_tokens_equal_explain(spark, monkeypatch):
+    monkeypatch.setattr(text, "_KNOWN", 3)
+    monkeypatch.setattr(text, "_SLICE", 100)
+    tokenizer = TOKENIZER.with_suffixes(r"[.,;!?]")
+    own = ["hello-world. :)", "", None, "a a a-b! é\u2003x", " ", "x" * 5000, "(a) (a) b,"] * 30
+    rows = text.rule_tokens(spark.createDataFrame(list(enumerate(own)), "i int, text string"), tokenizer).collect()
+    assert all((None if r.tokens is None else [tuple(t) for t in r.tokens]) == (None if own[r.i] is None else tokenizer.explain(own[r.i])) for r in rows) and len(rows) == len(own)
+    assert text.rule_tokens(files.texts(spark, ["x"]).limit(0), tokenizer).count() == 0
+
+
+def test_wordpieces(spark):
+    df = files.texts(spark, ["Unaffable un, xyz", None, ""])
+    got = [r.pieces for r in text.wordpieces(df, ["un", "##aff", "##able", ","]).collect()]
+    assert got == [["un", "##aff", "##able", "un", ",", "[UNK]"], None, []]
+    assert [r.pieces for r in text.wordpieces(df, [], fold=False).collect()] == [["[UNK]"] * 4, None, []]
+
+
+def test_annotations(spark):
+    rows = text.annotate(files.texts(spark, ["a bc", None]), lambda texts: ([{"lemma": w.upper(), "n": len(w)} for w in t.split()] for t in texts), "lemma string, n int").collect()
+    assert [[tuple(a) for a in r.annotations] for r in rows] == [[("A", 1), ("BC", 2)], []]
+
+
+@pytest.fixture(scope="module")
+def server():
+    class Handler(BaseHTTPRequestHandler):
+        def answer(self, body: bool):
+            if self.path == "/slow":
+                time.sleep(3)
+            code = {"/gone": 404, "/moved": 302, "/broken": 500}.get(self.path, 200)
+            self.send_response(code)
+            self.send_header("Content-Length", "20000" if code == 200 else "0")
+            if code == 302:
+                self.send_header("Location", "/there")
+            self.end_headers()
+            if body and code == 200:
+                self.wfile.write(b"x" * 20000)
+
+        def do_HEAD(self):
+            self.answer(False)
+
+        def do_GET(self):
+            self.answer(True)
+
+        def log_message(self, *_):
+            pass
+
+    with ThreadingHTTPServer(("127.0.0.1", 0), Handler) as httpd:
+        threading.Thread(target=httpd.serve_forever, daemon=True).start()
+        yield f"http://127.0.0.1:{httpd.server_port}"
+        httpd.shutdown()
+
+
+def test_requests(server):
+    assert [links.http_status(server + p) for p in ("/a", "/moved", "/gone", "/broken")] == ["200", "200", "404", "500"]
+    assert links.http_status(server + "/slow", timeout=0.3).startswith("Error: ") and links.http_status("http://127.0.0.1:1/").startswith("Error: ")
+    for url in ("file:///etc/hostname", "ftp://x/y", "x", ""):
+        assert links.http_status(url) == "Error: neither http nor https"
+    chunks = list(links.http_get(server + "/a"))
+    assert b"".join(chunks) == b"x" * 20000 and max(map(len, chunks)) <= links.CHUNK
+    with pytest.raises(ValueError):
+        next(links.http_get("file:///etc/hostname"))
+    with pytest.raises(OSError):
+        next(links.http_get(server + "/slow", timeout=0.3))
+
+
+def test_downloads_over_http(spark, server, tmp_path):
+    df = spark.createDataFrame([(1, server + "/a.csv"), (2, server + "/gone"), (3, "file:///etc/hostname")], "i long, url string")
+    got = {r["index"]: r for r in links.download(df, "url", "i", f"file://{tmp_path}/d").collect()}
+    assert [(got[i].status, got[i].bytes) for i in (1, 2, 3)] == [("downloaded", 20000), ("failed", 0), ("failed", 0)]
+    assert sorted(p.name for p in (tmp_path / "d").iterdir()) == ["a.csv"]
+
+
+def test_names_stay_in_the_folder_and_apart(spark, tmp_path):
+    urls = ["u/..", "u/.", "u/..", "u/x\\..\\y", "u/a\x00b", "u/x.csv", "v/x.csv", "w/6_x.csv", None, "u/..%2f"]
+    df = spark.createDataFrame(list(enumerate(urls)), "i long, url string")
+    folder = tmp_path / "in" / "d"
+    got = {r["index"]: r for r in links.download(df, "url", "i", str(folder), lambda url: [url.encode()]).collect()}
+    done = [r for r in got.values() if r.status == "downloaded"]
+    assert len(done) == 9 and len({r.filename for r in done}) == 9 and got[8].error == "no link"
+    assert {p.name for p in folder.iterdir()} == {r.filename for r in done} and [p.name for p in (tmp_path / "in").iterdir()] == ["d"]
+    assert all((folder / r.filename).read_bytes() == urls[r["index"]].encode() for r in done)
+    assert got[5].filename == "x.csv" and got[7].filename == "6_x.csv" and got[6].filename not in ("x.csv", "6_x.csv")
+
+
+def test_null_links_keep_their_rows(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "url string, n int")
+    rows = links.link_status(df, lambda url: "200")
+    assert sorted((r.n, r.status) for r in rows.collect()) == [(1, "200"), (2, None)] and [tuple(r) for r in links.status_histogram(rows).collect()] == [("200", 1)]
+
+
 def test_streams_equal_batch(spark, tmp_path):
     rows = spark.createDataFrame([(t,) for t in TEXTS], "text string")
     rows.write.parquet(str(tmp_path / "in"))
