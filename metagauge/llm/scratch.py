@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if set_dir:
-        return set_dir.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="metagauge-")
-    return _own[app]
-
+from metagauge.sources.files import shared_folder as shared_dir
 
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm

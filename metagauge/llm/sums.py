@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def total(rows: DataFrame, value: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
@@ -17,7 +18,7 @@ def total(rows: DataFrame, value: Callable[[pa.RecordBatch], np.ndarray]) -> np.
     added as decimals with 12 places, so executors combine them, in any order, to
     the same sum.
     """
-    empty = pa.RecordBatch.from_pylist([], schema=rows.limit(0).toArrow().schema)
+    empty = pa.RecordBatch.from_pylist([], schema=to_arrow_schema(rows.schema))
     shape = np.shape(value(empty))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
