@@ -46,6 +46,15 @@ def _sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at]
 
 
+def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of each text's flags are set."""
+    out = np.zeros(len(offsets) - 1)
+    some = np.flatnonzero(np.diff(offsets))
+    if len(some):
+        out[some] = np.add.reduceat(flags, offsets[some], dtype=np.int64)
+    return out
+
+
 def _repeats(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """For each text, how many of its values occurred in it before."""
     if not len(hashes):
@@ -90,11 +99,10 @@ def measures(words: Words, runs: Grams) -> np.ndarray:
         _stops.append(_stop_hashes())
     count = words.counts.astype(float)
     some = np.maximum(count, 1)
-    of = lambda table: np.diff(_sums(table[data], offsets)).astype(float)
-    chars = np.diff(_sums((data & 0xC0) != 0x80, offsets)).astype(float)
+    of = lambda table: _per_text(table[data], offsets)
+    chars = _per_text((data & 0xC0) != 0x80, offsets)
     solid = np.maximum(chars - of(WHITE), 1)
-    letters = _sums(_letters[data], np.arange(len(data) + 1)) if len(data) else np.zeros(1)
-    bare = letters[words.end] == letters[words.start] if len(words.start) else np.zeros(0, bool)
+    bare = np.add.reduceat(_letters[data], words.start, dtype=np.int32) == 0 if len(words.start) else np.zeros(0, bool)  # white space has no letters
     stops = _stops[0]
     near = np.minimum(np.searchsorted(stops, words.hash), len(stops) - 1)
     stop = stops[near] == words.hash
