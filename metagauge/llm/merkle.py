@@ -55,7 +55,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = written(tree(docs, id_col, text_col), "merkle-trees")
     same = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "least")
-    whole = rows.where("root is not null").join(written(same, "merkle-equal"), "root", "left").withColumn("equal_to", F.coalesce("least", "doc_id"))
+    same = written(same, "merkle-equal").hint("merge")  # never broadcast, as its size has no bound
+    whole = rows.where("root is not null").join(same, "root", "left").withColumn("equal_to", F.coalesce("least", "doc_id"))
     out = whole.select(*rows.columns, "equal_to").union(rows.where("root is null").withColumn("equal_to", F.lit(None).cast("long")))
     return out.select("doc_id", "root", F.size("sections").alias("n_sections"), F.when(F.col("leaves").isNotNull(), F.size(F.flatten("leaves"))).alias("n_paragraphs"), "sections", "leaves", "equal_to")
 
