@@ -89,9 +89,8 @@ class Bpe:
                 if a is not None and b is not None:
                     keys.append(a << 22 | b)
                     values.append(i)
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
-        self.values = np.append(np.array(values, np.int32)[order], -1)
+        self.keys, self.values = np.array(keys, np.int64), np.array(values, np.int32)
+        self._place()
         self.table: dict[int, int] = {}  # of long strings alone
         texts = []
         for i, p in enumerate(pieces):
@@ -106,11 +105,38 @@ class Bpe:
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
         self.at = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
 
+    def _place(self) -> None:
+        """A hash table of pairs, with linear probing, at most an eighth full."""
+        size = 1 << max(4, (8 * len(self.keys)).bit_length())
+        self.shift = np.uint64(65 - size.bit_length())
+        self.slots, self.made = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        left, at = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(left):
+            empty = np.flatnonzero(self.slots[at] < 0)
+            _, first = np.unique(at[empty], return_index=True)
+            put = empty[first]
+            self.slots[at[put]], self.made[at[put]] = self.keys[left[put]], self.values[left[put]]
+            left, at = np.delete(left, put), np.delete(at, put) + 1 & size - 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Pieces that these pairs make; -1 for none."""
         key = left.astype(np.int64) << 22 | right
-        i = np.searchsorted(self.keys, key)
-        return np.where(self.keys[i] == key, self.values[i], -1)
+        at = self._slot(key)
+        found = self.slots[at]
+        out = np.where(found == key, self.made[at], -1)
+        more = np.flatnonzero((found != key) & (found >= 0))
+        at = at[more]
+        while len(more):
+            at = at + 1 & len(self.slots) - 1
+            found = self.slots[at]
+            hit = found == key[more]
+            out[more[hit]] = self.made[at[hit]]
+            on = ~hit & (found >= 0)
+            more, at = more[on], at[on]
+        return out
 
     def agenda(self, sym: np.ndarray) -> np.ndarray:
         """Symbols of one string after all merges."""
@@ -258,7 +284,7 @@ class Encoder:
         at = np.flatnonzero(cut)
         chunks = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)) if len(data) < 2**31 else pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(data))
         coded = chunks.dictionary_encode()
-        own = coded.dictionary.to_pylist()
+        own = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > CACHE:
             self.clear()
         where = np.fromiter(map(self.known.get, own, [-1] * len(own)), np.int64, len(own))
