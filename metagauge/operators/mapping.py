@@ -77,9 +77,9 @@ def bucket(exact_first: bool = True) -> Column:
 
 
 def bucketed_fields(table: DataFrame) -> DataFrame:
-    """(level, bucket, fields): source fields of each bucket in order of value, "(None)" where there is none."""
-    rows = table.select("level", bucket().alias("bucket"), F.coalesce(strip(F.col("source_field")), F.lit("(None)")).alias("f")).where("bucket is not null")
-    return rows.groupBy("level", "bucket").agg(F.sort_array(F.collect_list("f")).alias("fields"))
+    """(level, bucket, field, n): source fields of each bucket, "(None)" where there is none, and their rows. Counted with map-side combine; no list is gathered."""
+    rows = table.select("level", bucket().alias("bucket"), F.coalesce(strip(F.col("source_field")), F.lit("(None)")).alias("field")).where("bucket is not null")
+    return rows.groupBy("level", "bucket", "field").agg(F.count(F.lit(1)).alias("n"))
 
 
 def coverage(counts: DataFrame) -> DataFrame:

@@ -200,7 +200,7 @@ def mapping_tes(spark, sf_dir):
     return mapping.effort_score(mapping.bucket_counts(_mappings(spark, sf_dir)))
 
 
-@_query(f"{_M}, b as (select level, case when {_KIND['exact']} then 'exact' when {_KIND['partial']} then 'partial' when {_KIND['unmapped']} then 'unmapped' end as bucket, coalesce(trim(source_field), '(None)') as f from m) select level, bucket, list_sort(list(f)) as fields from b where bucket is not null group by 1, 2")
+@_query(f"{_M}, b as (select level, case when {_KIND['exact']} then 'exact' when {_KIND['partial']} then 'partial' when {_KIND['unmapped']} then 'unmapped' end as bucket, coalesce(trim(source_field), '(None)') as f from m) select level, bucket, f as field, count(*) as n from b where bucket is not null group by 1, 2, 3")
 def mapping_buckets(spark, sf_dir):
     return mapping.bucketed_fields(_mappings(spark, sf_dir))
 
