@@ -62,9 +62,6 @@ def test_unknown_ids_fail(spark):
         spm.decode(spark.createDataFrame([([5, 10**6],)], "ids array<int>")).collect()
 
 
-# ---- packed ids ---------------------------------------------------------------
-
-
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 40) | st.just(7), max_size=400), max_size=4), st.sampled_from([0.5, 0.9, 1.0]))
 def test_packed_ids_come_back(lists, percentile):
