@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +124,7 @@ class RuleTokenizer:
                 elif url and url.match(piece):
                     out.append(("URL_MATCH", piece))
                     piece = ""
-                elif prefix and (m := prefix.search(piece)) and m.end():
+                elif prefix and (m := prefix.match(piece)) and m.end():
                     out.append(("PREFIX", m[0]))
                     piece = piece[m.end() :]
                 elif suffix and (m := suffix.search(piece)) and m.start() < len(piece):
@@ -155,8 +156,8 @@ class RuleTokenizer:
 KEEP_HYPHENS = r"(?<=\d)[+\-*^](?=[\d-])|(?<=[a-z\"'])\.(?=[A-Z\"'])|(?<=[^\W\d_]),(?=[^\W\d_])|(?<=[^\W_])[:<>=/](?=[^\W\d_])|\.\.+|…"
 
 
-#: Bytes of texts that are split at a time, and pieces that a task remembers: for memory; results don't depend on them.
-_SLICE, _KNOWN = 2_000_000, 500_000
+#: Bytes of texts that are split at a time, and pieces that a task remembers and their MB with their rows: for memory; results don't depend on them.
+_SLICE, _KNOWN, _KNOWN_MB = 1_000_000, 200_000, 16
 
 
 class _Pieces:
@@ -168,21 +169,26 @@ class _Pieces:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.pool: list[tuple[str, ...]] = []
-        self.start, self.arrays = [0], None
+        self.signs = 0
+        self.start, self.arrays = np.zeros(1, np.int64), [pa.array([], pa.string()) for _ in self.fields]
 
     def lists(self, pieces: list[list[str] | None]) -> pa.Array:
         """For each list of pieces the rows of all of them; null for None."""
-        flat = [x for own in pieces if own for x in own]
-        missing = [x for x in dict.fromkeys(flat) if x not in self.known]
-        for x in missing:
-            self.known[x] = len(self.known)
-            self.pool += self.split(x)
-            self.start.append(len(self.pool))
-        if missing or self.arrays is None:
-            self.arrays = [pa.array([r[i] for r in self.pool], pa.string()) for i in range(len(self.fields))]
-        which = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        start = np.array(self.start)
+        if len(self.known) > _KNOWN or self.signs + sum(a.nbytes for a in self.arrays) > _KNOWN_MB * 1e6:
+            self.clear()
+        flat = pa.array([x for own in pieces if own for x in own], pa.string()).dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
+        if missing := [x for x in distinct if x not in self.known]:
+            pool: list[tuple[str, ...]] = []
+            more = []
+            for x in missing:
+                self.known[x] = len(self.known)
+                pool += self.split(x)
+                more.append(len(pool))
+            self.signs += sum(map(len, missing))
+            self.start = np.concatenate((self.start, self.start[-1] + np.array(more)))
+            self.arrays = [pa.concat_arrays([a, pa.array([r[i] for r in pool], pa.string())]) for i, a in enumerate(self.arrays)]
+        start, which = self.start, np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[flat.indices.to_numpy()]
         sizes = np.diff(start)[which]
         ends = np.concatenate(([0], np.cumsum(sizes)))
         rows = pa.array(np.repeat(start[which] - ends[:-1], sizes) + np.arange(ends[-1]))
@@ -190,26 +196,35 @@ class _Pieces:
         counts = np.fromiter((len(own or ()) for own in pieces), np.int64, len(pieces))
         offsets = ends[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
         null = np.fromiter((own is None for own in pieces), bool, len(pieces))
-        if len(self.known) > _KNOWN:
-            self.clear()
         return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, list(self.fields)) if len(self.fields) > 1 else values[0], mask=pa.array(null) if null.any() else None)
 
 
-def _slices(texts: pa.Array) -> Iterator[list]:
-    """Values of an Arrow array, some bytes at a time."""
-    step = max(1, len(texts) * _SLICE // max(1, texts.nbytes))
-    for i in range(0, max(1, len(texts)), step):
-        yield texts.slice(i, step).to_pylist()
+def _ends(values: pa.Array) -> np.ndarray:
+    """Bytes of strings, or of lists of strings, up to the end of each value."""
+    if pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
+        inner = np.concatenate(([0], _ends(values.flatten())))
+        return inner[np.cumsum(pc.list_value_length(values).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    return np.cumsum(pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+
+
+def _slices(batches: Iterator[pa.Array]) -> Iterator[list]:
+    """Values of Arrow arrays, some bytes at a time; a value that has more stands alone."""
+    for values in batches:
+        ends, at = _ends(values), 0
+        while at < len(values):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _SLICE, "right")))
+            yield values.slice(at, to - at).to_pylist()
+            at = to
 
 
 def rule_tokens(df: DataFrame, tokenizer: RuleTokenizer, text_col: str = "text", out_col: str = "tokens") -> DataFrame:
-    """out_col: array of (rule, token) of each text, in Arrow batches; null for null."""
+    """out_col: array of (rule, token) of each text; null for null. Arrow batches are read and returned a slice at a time, so a worker's memory follows neither their rows nor the table."""
 
     @F.arrow_udf("array<struct<rule:string,token:string>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _Pieces(tokenizer.pieces(), ("rule", "token"))
-        for texts in batches:
-            yield pa.concat_arrays([own.lists([None if t is None else t.split() for t in part]) for part in _slices(texts)])
+        for part in _slices(batches):
+            yield own.lists([None if t is None else t.split() for t in part])
 
     return df.withColumn(out_col, run(col(text_col).cast("string")))
 
@@ -235,8 +250,8 @@ def wordpieces(df: DataFrame, vocabulary: Iterable[str], text_col: str = "text",
     @F.arrow_udf("array<string>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _Pieces(split, ("piece",))
-        for lists in batches:
-            yield pa.concat_arrays([own.lists(part) for part in _slices(lists)])
+        for part in _slices(batches):
+            yield own.lists(part)
 
     text = col(text_col).cast("string")
     return df.withColumn(out_col, run(words(F.lower(text) if fold else text)))

@@ -9,6 +9,7 @@ from datetime import datetime
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,6 +238,31 @@ def test_rule_tokens_equal_explain(spark, monkeypatch):
     assert text.rule_tokens(files.texts(spark, ["x"]).limit(0), tokenizer).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["rules", "pieces"])
+def test_memory_of_pieces_is_bounded(spark, monkeypatch, kind):
+    """What is returned at once follows the bytes of its own texts, also where long ones come together; what is remembered, the bytes of pieces."""
+    monkeypatch.setattr(text, "_SLICE", 1000)
+    monkeypatch.setattr(text, "_KNOWN_MB", 0.005, raising=False)
+    made, known = [], []
+    monkeypatch.setattr(text.F, "arrow_udf", lambda _: lambda f: made.append(f) or (lambda c: c))
+    clear = text._Pieces.clear
+    monkeypatch.setattr(text._Pieces, "clear", lambda self: (known.append(self), clear(self)))
+    df = files.texts(spark, ["x"])
+    text.rule_tokens(df, TOKENIZER) if kind == "rules" else text.wordpieces(df, ["a", "x", "##x"])
+    own = ["a b", None, ""] * 300 + [f"{'y' * 390}{i} x xx" for i in range(100)] + ["x" * 5000, "a"]
+    given = [None if t is None else t.split() for t in own] if kind == "pieces" else own
+    type_ = pa.list_(pa.string()) if kind == "pieces" else pa.string()
+    at = 0
+    for part in made[0](iter([pa.array([], type_), pa.array(given, type_), pa.array([None], type_)])):
+        texts = (own + [None])[at : at + len(part)]
+        want = [None if t is None else TOKENIZER.explain(t) if kind == "rules" else [p for w in t.split() for p in ((["x"] + ["##x"] * (len(w) - 1)) if set(w) == {"x"} else ["a"] if w == "a" else ["[UNK]"])] for t in texts]
+        assert (part.to_pylist() if kind == "pieces" else [None if v is None else [tuple(r.values()) for r in v] for v in part.to_pylist()]) == want
+        assert len(part) == 1 or sum(len((t or "").replace(" ", "")) for t in texts) <= 1000
+        assert sum(map(len, known[0].known)) <= 12_000
+        at += len(part)
+    assert at == len(own) + 1
+
+
 def test_wordpieces(spark):
     df = files.texts(spark, ["Unaffable un, xyz", None, ""])
     got = [r.pieces for r in text.wordpieces(df, ["un", "##aff", "##able", ","]).collect()]
